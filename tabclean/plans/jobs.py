@@ -131,7 +131,9 @@ def _summary_profile(counted: DataFrame, spec: TableSpec) -> DataFrame:
 
 def _distinct_profile(counted: DataFrame, spec: TableSpec) -> DataFrame:
     """Distinct counts and their share of the rows, all columns from one grouping."""
-    per_value = op.value_counts(counted, spec.distinct_cols)
+    # Copies are always positive. Testing them keeps the grouping below the same as in the summary,
+    # so that one shuffle feeds both; without a use of them the optimizer would drop the count here.
+    per_value = op.value_counts(counted.filter(F.col(COPIES) > 0), spec.distinct_cols)
     per_column = per_value.groupBy("column_name").agg(
         F.count("value").alias("distinct_count"), F.sum("rows").alias("rows")
     )
