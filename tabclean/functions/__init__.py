@@ -1,5 +1,5 @@
 """Column expressions shared by the operators."""
 
-from .columns import as_double, is_blank, is_missing, standardized, trimmed
+from .columns import as_double, is_blank, is_missing, literal_rows, standardized, trimmed
 
-__all__ = ["as_double", "is_blank", "is_missing", "standardized", "trimmed"]
+__all__ = ["as_double", "is_blank", "is_missing", "literal_rows", "standardized", "trimmed"]

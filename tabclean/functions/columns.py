@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,3 +45,12 @@ def as_double(df: DataFrame, col: str) -> Column:
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(value), value)
     return value
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few known rows as a frame built from literals, without a Python worker."""
+    fields = T.StructType.fromDDL(schema).fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, row)]) for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ..functions import literal_rows
+
 
 def normalized_name(name: str) -> str:
     """Strip, lower-case, and turn inner spaces into underscores."""
@@ -51,4 +53,4 @@ def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def schema_report(df: DataFrame) -> DataFrame:
     """One row per column: column_name, data_type. Reads the schema only, not the data."""
     rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "column_name string, data_type string")
+    return literal_rows(df.sparkSession, rows, "column_name string, data_type string")

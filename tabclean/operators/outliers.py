@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_double
+from ..functions import as_double, literal_rows
 from .quantiles import exact_quantiles
 
 FINEST_SKETCH = 1e-4  # below this rank error a sketch grows too large; quantiles are exact instead
@@ -81,8 +81,10 @@ def quantile_bounds(
     """
     if _exact(rel_err):
         rows = [(c, *f) for c, f in fences(df, cols, k, rel_err).items()]
-        return df.sparkSession.createDataFrame(
-            rows, "column_name string, q1 double, q3 double, lower_bound double, upper_bound double"
+        return literal_rows(
+            df.sparkSession,
+            rows,
+            "column_name string, q1 double, q3 double, lower_bound double, upper_bound double",
         )
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}.*")) for c in cols]
     return _sketch(df, cols, k, rel_err).select(F.inline(F.array(*rows)))

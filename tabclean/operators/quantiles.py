@@ -3,42 +3,45 @@
 A sketch with no error keeps every value in one place, and so does the built-in exact percentile.
 Here a small-error sketch only *guesses* two values around the wanted rank; one counting scan then
 tells exactly how many rows lie below, on and between the guesses, and the search goes on between
-them. Each scan covers all columns and quantiles, moves a fixed number of values per task, and
-shrinks the open interval by about 1/250; the last few rows are ranked with a window.
+them. Every scan covers all columns and quantiles and moves a fixed number of values per task. The
+open interval shrinks to about 1/250 each time; its last few rows are ranked with a window.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_double
 
-SKETCH_ACCURACY = 1000  # rank error of the guesses: 1/1000 of the rows they cover
-GRID = 500  # quantile steps read from each sketch
-WINDOW_ROWS = 1 << 20  # most rows ever ranked inside one task
+SKETCH_ACCURACY = 1000  # rank error of a guess: 1/1000 of the rows it covers
+WINDOW_ROWS = 1 << 16  # most rows ever ranked inside one task
 
 
 @dataclass(frozen=True)
 class _Search:
-    """Open interval (low, high) that holds the wanted rank, or the answer itself."""
+    """Open interval (low, high) around the wanted rank, or the answer itself."""
 
     column: str
     index: int
-    rank: int = 0
+    rank: int
+    inside: int
+    below: int = 0
     low: float | None = None
     high: float | None = None
-    below: int = 0
-    inside: int = 0
-    grid: list[float] | None = field(default=None, repr=False)
     answer: float | None = None
     done: bool = False
 
-    def between(self, v: Column) -> Column:
+    @property
+    def wide(self) -> bool:
+        return not self.done and self.inside > WINDOW_ROWS
+
+    def between(self) -> Column:
+        v = F.col(self.column)
         cond = v.isNotNull()
         if self.low is not None:
             cond = cond & (v > self.low)
@@ -52,82 +55,109 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """The value at rank ``ceil(p * n)`` for each column and probability; None without values.
 
-    Runs Spark jobs: two while a column has up to about a million values, one more for each further
-    factor of about 250. ``df`` is scanned every time, so hand in a stored table, not a long plan.
+    Runs Spark jobs: a count, two scans for each factor of about 250 by which the largest column
+    exceeds ``WINDOW_ROWS``, and a last one. ``df`` is scanned every time, so hand in a stored
+    table, not a long plan.
     """
     values = df.select(*[as_double(df, c).alias(c) for c in cols])
-    grids = [F.percentile_approx(c, _steps(), SKETCH_ACCURACY).alias(f"g_{i}") for i, c in enumerate(cols)]
-    sizes = [F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)]
-    first = values.agg(*grids, *sizes).first()
-    searches = []
-    for i, c in enumerate(cols):
-        for p in probs:
-            n = first[f"n_{i}"]
-            rank = min(max(1, math.ceil(p * n)), n)
-            searches.append(
-                _Search(c, len(searches), rank, inside=n, grid=first[f"g_{i}"], done=n == 0)
-            )
-    while any(not s.done and s.inside > WINDOW_ROWS for s in searches):
-        searches = _narrow(values, searches)
+    sizes = values.agg(*[F.count(c).alias(str(i)) for i, c in enumerate(cols)]).first()
+    searches = [
+        _Search(
+            c, i * len(probs) + j, min(max(1, math.ceil(p * sizes[i])), sizes[i]), sizes[i], done=sizes[i] == 0
+        )
+        for i, c in enumerate(cols)
+        for j, p in enumerate(probs)
+    ]
+    while any(s.wide for s in searches):
+        narrowed = _narrow(values, [s for s in searches if s.wide])
+        searches = [narrowed.get(s.index, s) for s in searches]
     searches = _rank_rest(values, searches)
     return {c: [s.answer for s in searches if s.column == c] for c in cols}
 
 
-def _steps() -> Column:
-    return F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
-
-
-def _guess(s: _Search) -> tuple[float | None, float | None]:
-    """Values a little before and after the wanted rank, from the sketch of the open interval."""
-    if not s.grid:
-        return s.low, s.high
-    position = (s.rank - s.below) / s.inside * GRID
-    before, after = math.floor(position) - 1, math.ceil(position) + 1
-    low = s.grid[before] if before >= 0 else s.low
-    high = s.grid[after] if after <= GRID else s.high
-    return low, high
-
+def _guess(values: DataFrame, wide: list[_Search]) -> dict[int, tuple[float | None, float | None]]:
+    """Values a little before and after each wanted rank, from one sketching scan.
 
-def _narrow(values: DataFrame, searches: list[_Search]) -> list[_Search]:
-    """One counting scan: how many rows are below, on and between each pair of guesses."""
-    wide = [s for s in searches if not s.done and s.inside > WINDOW_ROWS]
-    trial = {s.index: replace(s, low=lo, high=hi) for s in wide for lo, hi in [_guess(s)]}
+    Searches in the same interval of a column share a sketch.
+    """
+    margin = 2 / SKETCH_ACCURACY
+    spans = {}
+    shared: dict[tuple, list[_Search]] = {}
+    for s in wide:
+        at = (s.rank - s.below) / s.inside
+        spans[s.index] = (at - margin, at + margin)
+        shared.setdefault((s.column, s.low, s.high), []).append(s)
+    groups = list(shared.values())
+    aggs = []
+    for i, group in enumerate(groups):
+        probes = [min(max(q, 0.0), 1.0) for s in group for q in spans[s.index]]
+        value = F.when(group[0].between(), F.col(group[0].column))
+        aggs.append(
+            F.percentile_approx(value, F.array(*map(F.lit, probes)), SKETCH_ACCURACY).alias(str(i))
+        )
+    row = values.filter(_any([g[0].between() for g in groups])).agg(*aggs).first()
+    out = {}
+    for i, group in enumerate(groups):
+        for s, low, high in zip(group, row[i][::2], row[i][1::2]):
+            before, after = spans[s.index]
+            out[s.index] = (low if before > 0 else s.low, high if after < 1 else s.high)
+    return out
+
+
+def _any(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
+
+
+def _narrow(values: DataFrame, wide: list[_Search]) -> dict[int, _Search]:
+    """Guess, then count rows below, on and between the guesses in one scan."""
+    guesses = _guess(values, wide)
+    trial = {s.index: replace(s, low=guesses[s.index][0], high=guesses[s.index][1]) for s in wide}
     aggs = []
     for i, t in trial.items():
         v = F.col(t.column)
-        middle = F.when(t.between(v), v)
+        under, on_low, on_high = (
+            (v < t.low, v == t.low, v == t.high)
+            if t.low is not None and t.high is not None
+            else (v < t.low, v == t.low, F.lit(False))
+            if t.low is not None
+            else (F.lit(False), F.lit(False), v == t.high)
+        )
         aggs += [
-            (F.count_if(v < t.low) if t.low is not None else F.lit(0)).alias(f"lt_{i}"),
-            (F.count_if(v == t.low) if t.low is not None else F.lit(0)).alias(f"lo_{i}"),
-            F.count(middle).alias(f"in_{i}"),
-            (F.count_if(v == t.high) if t.high is not None else F.lit(0)).alias(f"hi_{i}"),
-            F.percentile_approx(middle, _steps(), SKETCH_ACCURACY).alias(f"g_{i}"),
+            F.count_if(under).alias(f"under_{i}"),
+            F.count_if(on_low).alias(f"low_{i}"),
+            F.count_if(t.between()).alias(f"between_{i}"),
+            F.count_if(on_high).alias(f"high_{i}"),
         ]
-    row = values.agg(*aggs).first()
-    counts = {i: {k: row[f"{k}_{i}"] for k in ("lt", "lo", "in", "hi", "g")} for i in trial}
-    return [_locate(s, trial[s.index], counts[s.index]) if s.index in trial else s for s in searches]
-
-
-def _locate(s: _Search, t: _Search, n: dict) -> _Search:
+    n = values.agg(*aggs).first()
+    return {
+        s.index: _locate(
+            s,
+            trial[s.index],
+            *[n[f"{part}_{s.index}"] for part in ("under", "low", "between", "high")],
+        )
+        for s in wide
+    }
+
+
+def _locate(s: _Search, t: _Search, under: int, on_low: int, between: int, on_high: int) -> _Search:
     """Place the wanted rank by exact counts, whatever the quality of the guesses."""
-    to_low = n["lt"] + n["lo"]
-    if t.low is not None and s.rank <= n["lt"]:
-        return replace(s, high=t.low, inside=n["lt"] - s.below, grid=None)
+    to_low = under + on_low if t.low is not None else s.below
+    to_between = to_low + between
+    to_high = to_between + (on_high if t.high != t.low else 0)
+    if t.low is not None and s.rank <= under:
+        return replace(s, high=t.low, inside=under - s.below)
     if t.low is not None and s.rank <= to_low:
         return replace(s, answer=t.low, done=True)
-    if t.low is None:
-        to_low = s.below
-    to_inside = to_low + n["in"]
-    if s.rank <= to_inside:
-        return replace(t, below=to_low, inside=n["in"], grid=n["g"])
+    if s.rank <= to_between:
+        return replace(t, below=to_low, inside=between)
     if t.high is None:
         raise ValueError("the table changed between two scans")
-    to_high = to_inside + (n["hi"] if t.high != t.low else 0)
     if s.rank <= to_high:
         return replace(s, answer=t.high, done=True)
-    return replace(
-        s, low=t.high, below=to_high, inside=s.below + s.inside - to_high, grid=None
-    )
+    return replace(s, low=t.high, below=to_high, inside=s.below + s.inside - to_high)
 
 
 def _rank_rest(values: DataFrame, searches: list[_Search]) -> list[_Search]:
@@ -136,11 +166,12 @@ def _rank_rest(values: DataFrame, searches: list[_Search]) -> list[_Search]:
     if not rest:
         return searches
     names = [str(s.index) for s in rest]
-    keys = [F.when(s.between(F.col(s.column)), F.col(s.column)).alias(str(s.index)) for s in rest]
+    keys = [F.when(s.between(), F.col(s.column)).alias(str(s.index)) for s in rest]
     wanted = F.create_map(*[F.lit(x) for s in rest for x in (str(s.index), s.rank - s.below)])
     ordered = Window.partitionBy("search").orderBy("value")
     hits = (
-        values.select(*keys)
+        values.filter(_any([s.between() for s in rest]))
+        .select(*keys)
         .unpivot([], names, "search", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("search", "value")
