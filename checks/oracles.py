@@ -330,6 +330,47 @@ def profile(short: str) -> str:
     return f"{cleaned(short)} " + " UNION ALL ".join(parts)
 
 
+def values(short: str) -> str:
+    """Distinct values and frequencies of the text columns, and of the facility flag."""
+    cols = TEXT[short].split() + (["teaching_hospital"] if short == "facilities" else [])
+    parts = [
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS rows FROM rows GROUP BY {c}"
+        for c in cols
+    ]
+    return f"{cleaned(short)} " + " UNION ALL ".join(parts)
+
+
+FLAGGED = {
+    "encounters": (ENCOUNTER_OUTLIERS, ()),
+    "facilities": (("bed_count", "avg_patients_per_nurse"),) * 2,
+    "patients": (("age", "chronic_condition_count"),) * 2,
+    "labs": (
+        ("avg_heart_rate_bpm", "avg_systolic_bp", "glucose_mg_dl", "bmi", "abnormal_lab_count"),
+    ) * 2,
+}
+
+
+def flagged(short: str) -> str:
+    outliers, non_positive = FLAGGED[short]
+    cols = COLUMNS[short]
+    parts, nulled = [], {}
+    for c in outliers:
+        parts.append(
+            f"SELECT 'outlier' AS check, '{c}' AS column_name, {project(cols, nulled)} FROM fenced "
+            f"WHERE {named_outlier(c)}"
+        )
+        if short == "encounters":
+            nulled[c] = f"CASE WHEN {named_outlier(c)} THEN NULL ELSE {c} END"
+    for c in non_positive:
+        parts.append(f"SELECT 'non_positive', '{c}', {project(cols, {})} FROM rows WHERE {c} <= 0")
+    if short == "facilities":
+        parts.append(
+            f"SELECT 'domain', 'teaching_hospital', {project(cols, {})} FROM rows "
+            "WHERE teaching_hospital NOT IN (0, 1)"
+        )
+    return f"{cleaned(short)}, fenced AS ({with_quartiles(outliers)}) " + " UNION ALL ".join(parts)
+
+
 def encounters_severity_listing() -> str:
     """Severity outliers as listed third, when the two earlier columns are already nulled."""
     earlier = ENCOUNTER_OUTLIERS[:2]
@@ -345,6 +386,9 @@ def all_oracles() -> dict[str, str]:
     for short in COLUMNS:
         out[f"job_{short}"] = job(short)
         out[f"profile_{short}"] = profile(short)
+        out[f"values_{short}"] = values(short)
+    for short in FLAGGED:
+        out[f"flagged_{short}"] = flagged(short)
     out["run_notes"] = job("notes", through_csv("notes"))
     out["run_encounters"] = job("encounters", through_csv("encounters"))
     out["listing_encounters_outliers"] = encounters_severity_listing()

@@ -265,9 +265,22 @@ def profile(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing(name: str, report: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = tc.TABLES[name]
+    rows = clean_rows(raw_table(spark, sf_dir, name), spec)
+    if not report.startswith("outliers_"):
+        return detail_reports(rows, spec)[report]
+    return detail_reports(tc.materialize(rows, name), spec, rel_err=0)[report]
+
+
+def flagged(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = tc.TABLES[name]
     rows = tc.materialize(clean_rows(raw_table(spark, sf_dir, name), spec), name)
-    return detail_reports(rows, spec, rel_err=0)[report]
+    return tc.flagged_rows(rows, spec, rel_err=0)
+
+
+def values(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = tc.TABLES[name]
+    return tc.value_report(clean_rows(raw_table(spark, sf_dir, name), spec), spec)
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,6 +319,9 @@ def all_queries() -> dict[str, Query]:
     for short, name in SHORT.items():
         out[f"job_{short}"] = partial(job, name)
         out[f"profile_{short}"] = partial(profile, name)
+        out[f"values_{short}"] = partial(values, name)
+    for short in ("encounters", "facilities", "patients", "labs"):
+        out[f"flagged_{short}"] = partial(flagged, SHORT[short])
     out["run_notes"] = partial(run, "clinical_notes")
     out["run_encounters"] = partial(run, "encounters")
     out["listing_encounters_outliers"] = partial(listing, "encounters", "outliers_encounter_severity")

@@ -2,7 +2,16 @@
 
 from .operators import *  # noqa: F403
 from .operators import __all__ as _operators
-from .plans import TABLES, TableSpec, clean_table, detail_reports, profile_table, run_table
+from .plans import (
+    TABLES,
+    TableSpec,
+    clean_table,
+    detail_reports,
+    flagged_rows,
+    profile_table,
+    run_table,
+    value_report,
+)
 from .sources import materialize, read_raw, write_curated
 
 __all__ = [
@@ -11,9 +20,11 @@ __all__ = [
     "TableSpec",
     "clean_table",
     "detail_reports",
+    "flagged_rows",
     "materialize",
     "profile_table",
     "read_raw",
     "run_table",
+    "value_report",
     "write_curated",
 ]

@@ -90,12 +90,12 @@ def quantile_bounds(
     return _sketch(df, cols, k, rel_err).select(F.inline(F.array(*rows)))
 
 
-def _outside(
+def outside_fence(
     df: DataFrame,
     cols: Sequence[str],
     k: float,
     rel_err: float,
-    limits: Mapping[str, Fence] | None,
+    limits: Mapping[str, Fence] | None = None,
 ) -> dict[str, Column]:
     """Per column the test for lying outside its fence; null where value or fence is null."""
     if limits is None and _exact(rel_err):
@@ -124,7 +124,7 @@ def iqr_outliers(
 
     ``limits`` takes fences found earlier by :func:`fences`.
     """
-    return df.filter(_outside(df, [col], k, rel_err, limits)[col])
+    return df.filter(outside_fence(df, [col], k, rel_err, limits)[col])
 
 
 def null_outliers(
@@ -137,5 +137,5 @@ def null_outliers(
     """Replace outliers by null, keeping every row and each column's type."""
     if not cols:
         return df
-    out = _outside(df, cols, k, rel_err, limits)
+    out = outside_fence(df, cols, k, rel_err, limits)
     return df.withColumns({c: F.when(out[c], None).otherwise(F.col(c)) for c in cols})

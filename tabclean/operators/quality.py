@@ -114,6 +114,11 @@ def domain_violations(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
     True/False columns are compared as 1/0. In a text column checked against numbers, text that is
     not a number is a violation.
     """
+    return df.filter(outside_domain(df, col, allowed))
+
+
+def outside_domain(df: DataFrame, col: str, allowed: Sequence) -> Column:
+    """The test behind :func:`domain_violations`."""
     dtype = df.schema[col].dataType
     numbers = all(isinstance(v, (int, float)) for v in allowed)
     value = F.col(col)
@@ -121,8 +126,8 @@ def domain_violations(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
         value = value.cast("int")
     if isinstance(dtype, T.StringType) and numbers:
         inside = F.coalesce(value.try_cast("double").isin(*map(float, allowed)), F.lit(False))
-        return df.filter(value.isNotNull() & ~inside)
-    return df.filter(~value.isin(*allowed))
+        return value.isNotNull() & ~inside
+    return ~value.isin(*allowed)
 
 
 def non_positive(df: DataFrame, col: str) -> DataFrame:

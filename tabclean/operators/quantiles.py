@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,7 +97,7 @@ def _guess(values: DataFrame, wide: list[_Search]) -> dict[int, tuple[float | No
         aggs.append(
             F.percentile_approx(value, F.array(*map(F.lit, probes)), SKETCH_ACCURACY).alias(str(i))
         )
-    row = values.filter(_any([g[0].between() for g in groups])).agg(*aggs).first()
+    row = values.filter(reduce(or_, [g[0].between() for g in groups])).agg(*aggs).first()
     out = {}
     for i, group in enumerate(groups):
         for s, low, high in zip(group, row[i][::2], row[i][1::2]):
@@ -104,13 +106,6 @@ def _guess(values: DataFrame, wide: list[_Search]) -> dict[int, tuple[float | No
     return out
 
 
-def _any(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
-
-
 def _narrow(values: DataFrame, wide: list[_Search]) -> dict[int, _Search]:
     """Guess, then count rows below, on and between the guesses in one scan."""
     guesses = _guess(values, wide)
@@ -170,7 +165,7 @@ def _rank_rest(values: DataFrame, searches: list[_Search]) -> list[_Search]:
     wanted = F.create_map(*[F.lit(x) for s in rest for x in (str(s.index), s.rank - s.below)])
     ordered = Window.partitionBy("search").orderBy("value")
     hits = (
-        values.filter(_any([s.between() for s in rest]))
+        values.filter(reduce(or_, [s.between() for s in rest]))
         .select(*keys)
         .unpivot([], names, "search", "value")
         .filter(F.col("value").isNotNull())

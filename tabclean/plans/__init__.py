@@ -5,9 +5,11 @@ from .jobs import (
     clean_table,
     clean_with_copies,
     detail_reports,
+    flagged_rows,
     profile_cleaned,
     profile_table,
     run_table,
+    value_report,
 )
 from .sizing import input_bytes, size_settings, sized_for
 from .spec import TableSpec
@@ -34,10 +36,12 @@ __all__ = [
     "clean_table",
     "clean_with_copies",
     "detail_reports",
+    "flagged_rows",
     "input_bytes",
     "profile_cleaned",
     "profile_table",
     "run_table",
     "size_settings",
     "sized_for",
+    "value_report",
 ]

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions import is_missing
-from ..operators.quality import summary_aggregates, summary_rows
+from ..operators.outliers import outside_fence
+from ..operators.quality import outside_domain, summary_aggregates
 from ..sources import materialize, read_raw, staged, write_curated
 from .sizing import sized_for
 from .spec import TableSpec
@@ -87,9 +90,21 @@ def profile_table(df: DataFrame, spec: TableSpec) -> DataFrame:
     return profile_cleaned(clean_with_copies(df, spec), spec)
 
 
-def profile_cleaned(counted: DataFrame, spec: TableSpec) -> DataFrame:
-    """:func:`profile_table` of rows from :func:`clean_with_copies`."""
-    return _summary_profile(counted, spec).unionByName(_distinct_profile(counted, spec))
+def profile_cleaned(
+    counted: DataFrame, spec: TableSpec, values: DataFrame | None = None
+) -> DataFrame:
+    """:func:`profile_table` of rows from :func:`clean_with_copies`.
+
+    ``values`` takes a stored :func:`value_report`, which already holds the distinct values.
+    """
+    summary = _summary_profile(counted, spec)
+    if not spec.distinct_cols:
+        return summary
+    if values is None:
+        # Copies are always positive. Testing them keeps the grouping below the same as in the
+        # summary, so that one shuffle feeds both; unused, the count would be optimised away here.
+        values = op.value_counts(counted.filter(F.col(COPIES) > 0), spec.distinct_cols)
+    return summary.unionByName(_distinct_profile(values, spec))
 
 
 def _summary_profile(counted: DataFrame, spec: TableSpec) -> DataFrame:
@@ -129,13 +144,12 @@ def _summary_profile(counted: DataFrame, spec: TableSpec) -> DataFrame:
     return wide.select(F.inline(F.array(*out)))
 
 
-def _distinct_profile(counted: DataFrame, spec: TableSpec) -> DataFrame:
+def _distinct_profile(values: DataFrame, spec: TableSpec) -> DataFrame:
     """Distinct counts and their share of the rows, all columns from one grouping."""
-    # Copies are always positive. Testing them keeps the grouping below the same as in the summary,
-    # so that one shuffle feeds both; without a use of them the optimizer would drop the count here.
-    per_value = op.value_counts(counted.filter(F.col(COPIES) > 0), spec.distinct_cols)
-    per_column = per_value.groupBy("column_name").agg(
-        F.count("value").alias("distinct_count"), F.sum("rows").alias("rows")
+    per_column = (
+        values.filter(F.col("column_name").isin(*spec.distinct_cols))
+        .groupBy("column_name")
+        .agg(F.count("value").alias("distinct_count"), F.sum("rows").alias("rows"))
     )
     out = [("distinct_count", F.col("distinct_count"))]
     if spec.distinct_ratio:
@@ -150,16 +164,64 @@ def _metric(column: str | Column, metric: str, value: Column) -> Column:
     )
 
 
+def value_report(cleaned: DataFrame, spec: TableSpec) -> DataFrame:
+    """Distinct values and frequencies of all listed columns: column_name, value, rows."""
+    return op.value_counts(cleaned, list(dict.fromkeys([*spec.distinct_cols, *spec.frequency_cols])))
+
+
+def flagged_rows(
+    cleaned: DataFrame,
+    spec: TableSpec,
+    rel_err: float = 0.01,
+    limits: Mapping[str, op.Fence] | None = None,
+) -> DataFrame:
+    """Every outlier, non-positive value and domain violation in one scan.
+
+    Columns ``check`` (outlier, non_positive, domain) and ``column_name`` come before the row; a
+    row that fails several checks is listed for each. Where outliers are replaced by null, a row
+    is shown with the columns handled earlier already replaced.
+    """
+    outside = {}
+    if spec.outlier_cols:
+        outside = outside_fence(cleaned, spec.outlier_cols, 1.5, rel_err, limits)
+    as_is = {c: F.col(c) for c in cleaned.columns}
+    listed = []
+    row = dict(as_is)
+    for c, test in outside.items():
+        listed.append(("outlier", c, test, dict(row)))
+        if spec.outlier_policy == "null":
+            row[c] = F.when(test, None).otherwise(F.col(c))
+    for c in spec.non_positive_cols:
+        listed.append(("non_positive", c, F.col(c) <= 0, as_is))
+    for c, allowed in spec.domains.items():
+        listed.append(("domain", c, outside_domain(cleaned, c, allowed), as_is))
+    if not listed:
+        labels = [F.lit("").alias("check"), F.lit("").alias("column_name")]
+        return cleaned.select(*labels, "*").filter(F.lit(False))
+    hits = [
+        F.when(
+            test,
+            F.struct(
+                F.lit(check).alias("check"),
+                F.lit(column).alias("column_name"),
+                *[value.alias(name) for name, value in shown.items()],
+            ),
+        )
+        for check, column, test, shown in listed
+    ]
+    failing = cleaned.filter(reduce(or_, [test for _, _, test, _ in listed]))
+    return failing.select(F.inline(F.array_compact(F.array(*hits))))
+
+
 def detail_reports(
     cleaned: DataFrame,
     spec: TableSpec,
     rel_err: float = 0.01,
     limits: Mapping[str, op.Fence] | None = None,
 ) -> dict[str, DataFrame]:
-    """The listings of a table as lazy frames, whole; ``cleaned`` comes from :func:`clean_rows`.
+    """Each listing of a table as a lazy frame of its own; ``cleaned`` is from :func:`clean_rows`.
 
-    Where outliers are replaced by null, each column's listing shows the columns handled before it
-    already replaced.
+    For all of them at once, :func:`value_report` and :func:`flagged_rows` take one scan each.
     """
     out = {"schema": op.schema_report(cleaned)}
     for c in spec.distinct_cols:
@@ -190,24 +252,46 @@ def run_table(
     reports: str | None = None,
     rel_err: float = 0.01,
 ) -> DataFrame:
-    """Raw CSV to curated Parquet, with every report under ``reports``; returns the curated table.
+    """Raw CSV to curated Parquet; returns the curated table.
+
+    Without reports, and unless exact fences are asked for, this is one lazy plan: one scan, one
+    wide shuffle, one write.
 
-    The CSV is read once and the rows are shuffled once, into a scratch table of cleaned rows with
-    their copy counts. Everything else is a narrow scan of that table, and its loss-proof files
-    stand between the heavy shuffle and the many small jobs. Fences are found once, so the
-    listings agree with the values that were replaced.
+    With ``reports`` the CSV is still read once and the rows are shuffled once, into a scratch table
+    of cleaned rows with their copy counts. Everything else is a narrow scan of that table, and its
+    stored files stand between the heavy shuffle and the jobs that follow. Fences are found once,
+    so the listings agree with the values that were replaced. The reports are ``profile``,
+    ``values`` (distinct values and frequencies), ``flagged`` (outliers, non-positive values,
+    domain violations), ``schema`` and ``sample``.
     """
+    nulling = spec.outlier_policy == "null"
     with sized_for(spark, raw):
         source = read_raw(spark, raw, types=spec.types, multiline=spec.multiline)
-        with staged(clean_with_copies(source, spec), spec.name) as counted:
-            rows = counted.drop(COPIES)
-            limits = None
-            if spec.outlier_cols and (reports or spec.outlier_policy == "null"):
+        schema = clean_rows(source, spec).schema
+        if not reports and not (nulling and rel_err < op.FINEST_SKETCH):
+            write_curated(clean_table(source, spec, rel_err), curated)
+        else:
+            with staged(clean_with_copies(source, spec), spec.name) as counted:
+                rows = counted.drop(COPIES)
                 limits = op.fences(rows, spec.outlier_cols, rel_err=rel_err)
-            write_curated(apply_outlier_policy(rows, spec, limits=limits), curated)
-            if reports:
-                write_curated(profile_cleaned(counted, spec), f"{reports}/profile")
-                for name, frame in detail_reports(rows, spec, limits=limits).items():
-                    write_curated(frame, f"{reports}/{name}")
-            schema = rows.schema
+                write_curated(apply_outlier_policy(rows, spec, limits=limits), curated)
+                if reports:
+                    _write_reports(counted, spec, limits, reports)
     return spark.read.schema(schema).parquet(curated)
+
+
+def _write_reports(
+    counted: DataFrame, spec: TableSpec, limits: Mapping[str, op.Fence] | None, path: str
+) -> None:
+    rows = counted.drop(COPIES)
+    values = None
+    if spec.distinct_cols or spec.frequency_cols:
+        report = value_report(rows, spec)
+        write_curated(report, f"{path}/values")
+        values = counted.sparkSession.read.schema(report.schema).parquet(f"{path}/values")
+    write_curated(profile_cleaned(counted, spec, values), f"{path}/profile")
+    if spec.outlier_cols or spec.non_positive_cols or spec.domains:
+        write_curated(flagged_rows(rows, spec, limits=limits), f"{path}/flagged")
+    write_curated(op.schema_report(rows), f"{path}/schema")
+    if spec.sample_cols:
+        write_curated(op.sample_values(rows, spec.sample_cols), f"{path}/sample")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.names import normalized_name
@@ -16,7 +17,7 @@ def read_raw(
     schema: T.StructType | None = None,
     types: Mapping[str, str] | None = None,
     multiline: bool = False,
-    mode: str = "FAILFAST",
+    on_bad_value: str = "error",
 ) -> DataFrame:
     """Read CSV files with a header row.
 
@@ -26,24 +27,31 @@ def read_raw(
       every file's own header is checked against it.
     * neither: types are inferred, which costs a full extra pass and turns ``007`` into ``7``.
 
-    With declared types a value that does not parse stops the job (``mode="FAILFAST"``) instead of
-    turning into null; pass ``mode="PERMISSIVE"`` for nulls.
+    A value that does not fit its declared type stops the job, or becomes null with
+    ``on_bad_value="null"``. Short lines are filled with nulls. Empty fields are null.
 
     ``multiline=True`` accepts quoted line breaks. Spark cannot split such a file, so at scale the
     table must come as many files of moderate size.
     """
+    if on_bad_value not in ("error", "null"):
+        raise ValueError(f"on_bad_value must be 'error' or 'null', not {on_bad_value!r}")
     reader = spark.read.option("header", True)
     if multiline:
         reader = reader.option("multiLine", True).option("escape", '"')
-    if schema is None and types is None:
-        return reader.option("inferSchema", True).csv(path)
     if schema is not None:
-        return reader.option("mode", mode).schema(schema).csv(path)
+        return reader.schema(schema).csv(path)
+    if types is None:
+        return reader.option("inferSchema", True).csv(path)
     header = reader.csv(path).columns
-    declared = T.StructType(
-        [
-            T.StructField(name, T.DataType.fromDDL(types.get(normalized_name(name), "string")))
-            for name in header
-        ]
-    )
-    return reader.option("mode", mode).option("enforceSchema", False).schema(declared).csv(path)
+    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    df = reader.option("enforceSchema", False).schema(text).csv(path)
+
+    def typed(name: str) -> Column:
+        value = F.col("`" + name.replace("`", "``") + "`")
+        dtype = types.get(normalized_name(name))
+        if dtype is None:
+            return value
+        cast = value.cast if on_bad_value == "error" else value.try_cast
+        return cast(dtype).alias(name)
+
+    return df.select(*[typed(name) for name in header])

@@ -159,6 +159,28 @@ def test_facilities(facilities, rows):
     assert tc.fences(cleaned, ["bed_count"], rel_err=0)["bed_count"] == (0.0, 140.0, -210.0, 350.0)
 
 
+def test_flagged_rows_hold_the_same_as_the_single_listings(facilities, encounters, spark):
+    for raw, spec in ((facilities, FACILITIES), (encounters, ENCOUNTERS)):
+        cleaned = clean_rows(raw, spec)
+        key = cleaned.columns[0]
+        flagged = tc.flagged_rows(cleaned, spec, rel_err=0)
+        assert flagged.columns == ["check", "column_name", *cleaned.columns]
+        together = sorted((r.check, r.column_name, r[key]) for r in flagged.collect())
+        singles = tc.detail_reports(cleaned, spec, rel_err=0)
+        apart = []
+        for check, prefix in (("outlier", "outliers_"), ("non_positive", "non_positive_"), ("domain", "domain_")):
+            for name in [n for n in singles if n.startswith(prefix)]:
+                apart += [(check, name.removeprefix(prefix), r[key]) for r in singles[name].collect()]
+        assert together == sorted(apart) and together
+
+
+def test_tables_without_checks_have_no_flagged_rows(spark, rows):
+    df = spark.createDataFrame([("e1", "x")], ["encounter_id", "medication_class"])
+    empty = tc.flagged_rows(df, MEDICATIONS)
+    assert empty.columns == ["check", "column_name", "encounter_id", "medication_class"]
+    assert rows(empty) == []
+
+
 def test_rows_equal_after_cleaning_merge_in_the_other_tables(spark, rows):
     df = spark.createDataFrame(
         [("E1", "Statin"), (" e1", "statin "), ("e1", ""), ("e1", "  "), ("e1", None)],
@@ -218,7 +240,7 @@ def test_run_table(spark, tmp_path, rows):
         "Facility ID,Facility Name, Region ,Bed Count,Teaching Hospital,Avg Patients Per Nurse\n"
         "007, General ,North,100,0,3.5\n"
         "007,GENERAL,north,100,0,3.5\n"
-        "008,Clinic,South,120,1,4.5\n"
+        "008,Clinic,South,0,1,4.5\n"
         "009,,South,5000,2,4.0\n"
     )
     out = tc.run_table(
@@ -226,17 +248,23 @@ def test_run_table(spark, tmp_path, rows):
     )
     assert rows(out) == [
         ("007", "general", "north", 100, 0, 3.5),
-        ("008", "clinic", "south", 120, 1, 4.5),
+        ("008", "clinic", "south", 0, 1, 4.5),
         ("009", None, "south", 5000, 2, 4.0),
     ]
     assert out.dtypes == spark.read.parquet(str(tmp_path / "curated")).dtypes
-    reports = {p.name for p in (tmp_path / "reports").iterdir()}
-    assert reports == {
-        "profile", "schema", "sample", "distinct_facility_id", "distinct_facility_name",
-        "distinct_region", "frequency_teaching_hospital", "domain_teaching_hospital",
-        "outliers_bed_count", "outliers_avg_patients_per_nurse", "non_positive_bed_count",
-        "non_positive_avg_patients_per_nurse",
+    def report(name):
+        return spark.read.parquet(str(tmp_path / "reports" / name))
+
+    assert {p.name for p in (tmp_path / "reports").iterdir()} == {
+        "profile", "values", "flagged", "schema", "sample"
     }
+    flags = report("flagged").select("check", "column_name", "facility_id")
+    assert rows(flags) == [
+        ("domain", "teaching_hospital", "009"),
+        ("non_positive", "bed_count", "008"),
+    ]
+    regions = report("values").filter("column_name = 'region'").select("value", "rows")
+    assert rows(regions) == [("north", 1), ("south", 2)]
     found = metrics(spark.read.parquet(str(tmp_path / "reports" / "profile")))
     assert found["*", "duplicates_removed"] == 1 and found["facility_name", "missing_count"] == 1
 
