@@ -61,40 +61,32 @@ def cardinality_ratio(df: DataFrame, col: str, approx: bool = False) -> DataFram
     return cardinality_ratios(df, [col], approx).toDF("cardinality_ratio")
 
 
+SUMMARY = ("count", "mean", "stddev", "min", "max")
+
+
 def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per numeric column: column_name, count, mean, stddev, min, max.
 
     ``min`` and ``max`` are bigint when all the columns hold whole numbers, else double.
     """
-    return df.agg(*summary_aggregates(df, cols)).select(F.inline(F.array(*summary_rows(cols))))
-
-
-def summary_aggregates(df: DataFrame, cols: Sequence[str]) -> list[Column]:
-    """The wide aggregates behind :func:`describe_columns`."""
-    for c in cols:
-        if not isinstance(df.schema[c].dataType, T.NumericType):
-            raise TypeError(f"column {c!r} must be numeric")
     whole = all(isinstance(df.schema[c].dataType, T.IntegralType) for c in cols)
     extreme = "bigint" if whole else "double"
-    out = []
-    for c in cols:
-        out += [
-            F.count(c).alias(f"{c}__count"),
-            F.avg(c).cast("double").alias(f"{c}__mean"),
-            F.stddev_samp(c).alias(f"{c}__stddev"),
-            F.min(c).cast(extreme).alias(f"{c}__min"),
-            F.max(c).cast(extreme).alias(f"{c}__max"),
-        ]
-    return out
-
-
-def summary_rows(cols: Sequence[str]) -> list[Column]:
-    """The wide aggregates of :func:`summary_aggregates` as one struct per column."""
-    parts = ("count", "mean", "stddev", "min", "max")
-    return [
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{p}").alias(p) for p in parts])
-        for c in cols
-    ]
+    types = {"min": extreme, "max": extreme, "mean": "double"}
+    wide = df.agg(*[F.struct(*_named(summary_aggregates(df, c), types)).alias(c) for c in cols])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}.*")) for c in cols]
+    return wide.select(F.inline(F.array(*rows)))
+
+
+def summary_aggregates(df: DataFrame, col: str) -> dict[str, Column]:
+    """The aggregates of :data:`SUMMARY` for a numeric column."""
+    if not isinstance(df.schema[col].dataType, T.NumericType):
+        raise TypeError(f"column {col!r} must be numeric")
+    functions = (F.count, F.avg, F.stddev_samp, F.min, F.max)
+    return {part: f(col) for part, f in zip(SUMMARY, functions)}
+
+
+def _named(parts: dict[str, Column], types: dict[str, str]) -> list[Column]:
+    return [(v.cast(types[k]) if k in types else v).alias(k) for k, v in parts.items()]
 
 
 def text_length_stats(df: DataFrame, col: str) -> DataFrame:

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..functions import is_missing
+from ..functions import is_missing, literal_rows
 from ..operators.outliers import outside_fence
-from ..operators.quality import outside_domain, summary_aggregates
+from ..operators.quality import SUMMARY, outside_domain, summary_aggregates
 from ..sources import materialize, read_raw, staged, write_curated
 from .sizing import sized_for
 from .spec import TableSpec
@@ -122,46 +122,55 @@ def _summary_profile(counted: DataFrame, spec: TableSpec) -> DataFrame:
         return F.count_if(test)
 
     wide = counted.agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).alias("rows_before"),
-        F.count(F.lit(1)).alias("rows_after"),
-        *[missing(c).alias(f"{c}__missing") for c in columns],
-        *summary_aggregates(counted, described),
+        F.coalesce(F.sum(COPIES), F.lit(0)).alias("before"),
+        F.count(F.lit(1)).alias("after"),
+        *[missing(c).alias(f"missing_{i}") for i, c in enumerate(columns)],
+        *[
+            aggregate.alias(f"{part}_{i}")
+            for i, c in enumerate(described)
+            for part, aggregate in summary_aggregates(counted, c).items()
+        ],
     )
-    before, after = F.col("rows_before"), F.col("rows_after")
     out = [
-        _metric("*", "rows_before", before),
-        _metric("*", "rows_after", after),
-        _metric("*", "duplicates_removed", before - after),
+        ("*", "rows_before", "before"),
+        ("*", "rows_after", "after"),
+        ("*", "duplicates_removed", "before - after"),
     ]
-    for c in columns:
-        n = F.col(f"{c}__missing")
-        out.append(_metric(c, "missing_count", n))
+    rows = "before" if weighted else "after"
+    for i, c in enumerate(columns):
+        out.append((c, "missing_count", f"missing_{i}"))
         if spec.missing_ratio:
-            out.append(_metric(c, "missing_ratio", F.try_divide(n, before if weighted else after)))
-    for c in described:
-        for part in ("count", "mean", "stddev", "min", "max"):
-            out.append(_metric(c, part, F.col(f"{c}__{part}")))
-    return wide.select(F.inline(F.array(*out)))
+            out.append((c, "missing_ratio", f"try_divide(missing_{i}, {rows})"))
+    for i, c in enumerate(described):
+        out += [(c, part, f"{part}_{i}") for part in SUMMARY]
+    return wide.select(F.expr(_stack(out)).alias("column_name", "metric", "value"))
+
+
+def _stack(metrics: list[tuple[str, str, str]]) -> str:
+    """SQL that turns one wide row into a row (column_name, metric, value) per metric."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    cells = [f"{quoted(c)}, '{m}', CAST({value} AS DOUBLE)" for c, m, value in metrics]
+    return f"stack({len(cells)}, {', '.join(cells)})"
 
 
 def _distinct_profile(values: DataFrame, spec: TableSpec) -> DataFrame:
     """Distinct counts and their share of the rows, all columns from one grouping."""
+    none = [(c, None, 0) for c in spec.distinct_cols]  # a row each, also for an empty table
+    schema = "column_name string, value string, rows bigint"
     per_column = (
         values.filter(F.col("column_name").isin(*spec.distinct_cols))
+        .unionByName(literal_rows(values.sparkSession, none, schema))
         .groupBy("column_name")
         .agg(F.count("value").alias("distinct_count"), F.sum("rows").alias("rows"))
     )
     out = [("distinct_count", F.col("distinct_count"))]
     if spec.distinct_ratio:
         out.append(("cardinality_ratio", F.try_divide(F.col("distinct_count"), F.col("rows"))))
-    return per_column.select(F.inline(F.array(*[_metric(F.col("column_name"), m, v) for m, v in out])))
-
-
-def _metric(column: str | Column, metric: str, value: Column) -> Column:
-    name = F.lit(column) if isinstance(column, str) else column
-    return F.struct(
-        name.alias("column_name"), F.lit(metric).alias("metric"), value.cast("double").alias("value")
-    )
+    wide = per_column.select("column_name", *[v.cast("double").alias(m) for m, v in out])
+    return wide.unpivot("column_name", [m for m, _ in out], "metric", "value")
 
 
 def value_report(cleaned: DataFrame, spec: TableSpec) -> DataFrame:

@@ -220,6 +220,11 @@ def test_patients_and_labs_only_list(spark, rows):
     assert reports["non_positive_abnormal_lab_count"].count() == 200
 
 
+def test_column_names_with_quotes_can_be_profiled(spark):
+    df = spark.createDataFrame([("e1", "x", None)], "encounter_id string, medication_class string, `it's \\ \"n\"` int")
+    assert metrics(tc.profile_table(df, MEDICATIONS))["it's_\\_\"n\"", "missing_count"] == 1
+
+
 def test_pass_through_columns_are_kept_and_profiled(spark):
     df = spark.createDataFrame([("e1", "a", " ", 1)], ["encounter_id", "medication_class", "Extra Note", "n"])
     assert tc.clean_table(df, MEDICATIONS).columns == ["encounter_id", "medication_class", "extra_note", "n"]
@@ -232,6 +237,8 @@ def test_empty_tables(spark, rows):
     found = metrics(tc.profile_table(df, MEDICATIONS))
     assert found["*", "rows_before"] == 0 and found["encounter_id", "missing_count"] == 0
     assert found["encounter_id", "missing_ratio"] is None
+    assert found["medication_class", "distinct_count"] == 0
+    assert found["medication_class", "cardinality_ratio"] is None
 
 
 def test_run_table(spark, tmp_path, rows):
@@ -303,3 +310,20 @@ def test_sizes_follow_the_input(spark, tmp_path):
 def test_specs_check_their_options():
     with pytest.raises(ValueError, match="dedup_stage"):
         tc.TableSpec(name="x", dedup_stage="never")
+
+
+def test_clean_table_is_one_scan_and_one_wide_shuffle(spark, tmp_path, plan, encounters):
+    raw = str(tmp_path / "raw")
+    tc.normalize_names(encounters).write.option("header", True).csv(raw)
+    df = tc.clean_table(tc.read_raw(spark, raw, types=ENCOUNTERS.types), ENCOUNTERS)
+    df.collect()
+    text = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    tree = text[: text.index("===== Subqueries")]
+    subquery = text[text.index("===== Subqueries") :]
+    assert tree[: tree.index("Initial Plan")].count("Scan csv") == 1
+    assert tree[: tree.index("Initial Plan")].count("Exchange") == 1
+    first = subquery[: subquery.index("Initial Plan")]
+    assert "ReusedExchange" in first and "Scan csv" not in first
+    assert "ReusedSubquery" in text and "Join" not in text

@@ -155,12 +155,3 @@ def test_several_columns_share_the_scans(spark):
     df = spark.range(5000).selectExpr("id AS a", "CAST(id % 10 AS INT) AS b", "CAST(NULL AS DOUBLE) AS c")
     found = tc.exact_quantiles(df, ["a", "b", "c"], [0.25, 0.75])
     assert found == {"a": [1249.0, 3749.0], "b": [2.0, 7.0], "c": [None, None]}
-
-
-def test_fences_reuse_the_shuffle_of_the_duplicate_removal(spark, plan):
-    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    out = tc.null_outliers(tc.drop_duplicate_rows(orders), ["o_totalprice"])
-    text = plan(out)
-    final = text[: text.index("Initial Plan")]
-    assert "Subquery" in final and "Join" not in text
-    assert "ReusedExchange" in out._jdf.queryExecution().toString() or "ReusedExchange" in text
