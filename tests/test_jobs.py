@@ -276,6 +276,17 @@ def test_run_table(spark, tmp_path, rows):
     assert found["*", "duplicates_removed"] == 1 and found["facility_name", "missing_count"] == 1
 
 
+def test_command_line(spark, tmp_path, monkeypatch, rows):
+    from tabclean.__main__ import main
+
+    (tmp_path / "raw.csv").write_text("Encounter ID,Medication Class\nE1, Statin\ne1,statin\n")
+    raw, curated, reports = (str(tmp_path / n) for n in ("raw.csv", "curated", "reports"))
+    monkeypatch.setattr("sys.argv", ["tabclean", "medications", raw, curated, "--reports", reports])
+    main()
+    assert rows(spark.read.parquet(curated)) == [("e1", "statin")]
+    assert metrics(spark.read.parquet(f"{reports}/profile"))["*", "duplicates_removed"] == 1
+
+
 def test_run_agrees_with_clean_table(spark, tmp_path, rows, encounters):
     raw = str(tmp_path / "raw")
     tc.normalize_names(encounters).write.option("header", True).csv(raw)
