@@ -1,4 +1,4 @@
-"""``python -m tabclean TABLE RAW CURATED [--reports DIR] [--rel-err X]``"""
+"""``python -m tabclean TABLE RAW CURATED [--reports DIR] [--rel-err X] [--on-bad-value null]``"""
 
 from __future__ import annotations
 
@@ -16,9 +16,18 @@ def main() -> None:
     parser.add_argument("curated", help="Parquet folder to replace")
     parser.add_argument("--reports", help="folder for the profile and the listings")
     parser.add_argument("--rel-err", type=float, default=0.01, help="rank error of quartiles")
+    parser.add_argument("--on-bad-value", choices=("error", "null"), default="error")
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"tabclean {args.table}").getOrCreate()
-    run_table(spark, TABLES[args.table], args.raw, args.curated, args.reports, args.rel_err)
+    run_table(
+        spark,
+        TABLES[args.table],
+        args.raw,
+        args.curated,
+        reports=args.reports,
+        rel_err=args.rel_err,
+        on_bad_value=args.on_bad_value,
+    )
 
 
 if __name__ == "__main__":

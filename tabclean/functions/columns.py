@@ -9,9 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> str:
+    """A column name in backticks, so that dots and quotes in it are taken literally."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def column(name: str) -> Column:
+    """The column of exactly this name."""
+    return F.col(quoted(name))
+
+
 def trimmed(col: str) -> Column:
     """Value without leading and trailing spaces (the space character only)."""
-    return F.trim(F.col(col))
+    return F.trim(column(col))
 
 
 def standardized(col: str) -> Column:
@@ -30,7 +40,7 @@ def is_missing(df: DataFrame, col: str) -> Column:
     Other types are only tested for null: a number or date is never blank, and arrays, maps and
     structs cannot be trimmed at all.
     """
-    null = F.col(col).isNull()
+    null = column(col).isNull()
     if isinstance(df.schema[col].dataType, T.StringType):
         return null | is_blank(col)
     return null
@@ -41,7 +51,7 @@ def as_double(df: DataFrame, col: str) -> Column:
     dtype = df.schema[col].dataType
     if not isinstance(dtype, T.NumericType):
         raise TypeError(f"column {col!r} must be numeric, not {dtype.simpleString()}")
-    value = F.col(col).cast("double")
+    value = column(col).cast("double")
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(value), value)
     return value

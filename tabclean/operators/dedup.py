@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import column
+
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     """Keep one of each set of equal rows; null equals null."""
@@ -23,7 +25,7 @@ def count_copies(df: DataFrame, name: str = "copies") -> DataFrame:
     """
     if name in df.columns:
         raise ValueError(f"the table already has a column {name!r}")
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(name))
+    return df.groupBy(*[column(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(name))
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_double, literal_rows
+from ..functions import as_double, column, literal_rows, quoted
 from .quantiles import exact_quantiles
 
 FINEST_SKETCH = 1e-4  # below this rank error a sketch grows too large; quantiles are exact instead
@@ -34,10 +34,10 @@ def _sketch(df: DataFrame, cols: Sequence[str], k: float, rel_err: float) -> Dat
     accuracy = max(1, round(1 / rel_err))
     quartiles = F.array(F.lit(0.25), F.lit(0.75))
     values = df.select(*[as_double(df, c).alias(c) for c in cols])
-    found = values.agg(*[F.percentile_approx(c, quartiles, accuracy).alias(c) for c in cols])
+    found = values.agg(*[F.percentile_approx(column(c), quartiles, accuracy).alias(c) for c in cols])
 
     def fence(c: str) -> Column:
-        q1, q3 = F.col(c)[0], F.col(c)[1]
+        q1, q3 = column(c)[0], column(c)[1]
         reach = k * (q3 - q1)
         return F.struct(
             q1.alias("q1"),
@@ -86,7 +86,7 @@ def quantile_bounds(
             rows,
             "column_name string, q1 double, q3 double, lower_bound double, upper_bound double",
         )
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}.*")) for c in cols]
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{quoted(c)}.*")) for c in cols]
     return _sketch(df, cols, k, rel_err).select(F.inline(F.array(*rows)))
 
 
@@ -106,11 +106,11 @@ def outside_fence(
     else:
         # A scalar subquery: the fences are found inside the same query, which shares any shuffle
         # below (a duplicate removal, say) instead of running it twice.
-        every = F.struct(*[F.col(c) for c in cols]).alias("fences")
+        every = F.struct(*[column(c) for c in cols]).alias("fences")
         found = _sketch(df, cols, k, rel_err).select(every).scalar()
         lo = {c: found[c]["lower_bound"] for c in cols}
         hi = {c: found[c]["upper_bound"] for c in cols}
-    return {c: (F.col(c) < lo[c]) | (F.col(c) > hi[c]) for c in cols}
+    return {c: (column(c) < lo[c]) | (column(c) > hi[c]) for c in cols}
 
 
 def iqr_outliers(
@@ -138,4 +138,4 @@ def null_outliers(
     if not cols:
         return df
     out = outside_fence(df, cols, k, rel_err, limits)
-    return df.withColumns({c: F.when(out[c], None).otherwise(F.col(c)) for c in cols})
+    return df.withColumns({c: F.when(out[c], None).otherwise(column(c)) for c in cols})

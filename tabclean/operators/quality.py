@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import is_missing
+from ..functions import column, is_missing, quoted
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """One row with the number of nulls under each column's own name."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    return df.agg(*[F.count_if(column(c).isNull()).alias(c) for c in df.columns])
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
@@ -34,11 +34,11 @@ def missing_ratios(df: DataFrame) -> DataFrame:
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """The distinct values of a column, null included."""
-    return df.select(col).distinct()
+    return df.select(column(col)).distinct()
 
 
 def _distinct(col: str, approx: bool) -> Column:
-    return F.approx_count_distinct(col) if approx else F.count_distinct(col)
+    return F.approx_count_distinct(column(col)) if approx else F.count_distinct(column(col))
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
@@ -73,7 +73,7 @@ def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     extreme = "bigint" if whole else "double"
     types = {"min": extreme, "max": extreme, "mean": "double"}
     wide = df.agg(*[F.struct(*_named(summary_aggregates(df, c), types)).alias(c) for c in cols])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}.*")) for c in cols]
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{quoted(c)}.*")) for c in cols]
     return wide.select(F.inline(F.array(*rows)))
 
 
@@ -82,7 +82,7 @@ def summary_aggregates(df: DataFrame, col: str) -> dict[str, Column]:
     if not isinstance(df.schema[col].dataType, T.NumericType):
         raise TypeError(f"column {col!r} must be numeric")
     functions = (F.count, F.avg, F.stddev_samp, F.min, F.max)
-    return {part: f(col) for part, f in zip(SUMMARY, functions)}
+    return {part: f(column(col)) for part, f in zip(SUMMARY, functions)}
 
 
 def _named(parts: dict[str, Column], types: dict[str, str]) -> list[Column]:
@@ -92,12 +92,12 @@ def _named(parts: dict[str, Column], types: dict[str, str]) -> list[Column]:
 def text_length_stats(df: DataFrame, col: str) -> DataFrame:
     """:func:`describe_columns` of the length in characters, as column ``<col>_length``."""
     name = f"{col}_length"
-    return describe_columns(df.select(F.length(col).alias(name)), [name])
+    return describe_columns(df.select(F.length(column(col)).alias(name)), [name])
 
 
 def frequency(df: DataFrame, col: str) -> DataFrame:
     """Rows per value of a column; null is a group of its own."""
-    return df.groupBy(col).count()
+    return df.groupBy(column(col)).count()
 
 
 def domain_violations(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
@@ -113,7 +113,7 @@ def outside_domain(df: DataFrame, col: str, allowed: Sequence) -> Column:
     """The test behind :func:`domain_violations`."""
     dtype = df.schema[col].dataType
     numbers = all(isinstance(v, (int, float)) for v in allowed)
-    value = F.col(col)
+    value = column(col)
     if isinstance(dtype, T.BooleanType) and numbers:
         value = value.cast("int")
     if isinstance(dtype, T.StringType) and numbers:
@@ -124,7 +124,7 @@ def outside_domain(df: DataFrame, col: str, allowed: Sequence) -> Column:
 
 def non_positive(df: DataFrame, col: str) -> DataFrame:
     """Rows whose value is zero or less; null and NaN never match."""
-    return df.filter(F.col(col) <= 0)
+    return df.filter(column(col) <= 0)
 
 
 def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] | str | None = None) -> DataFrame:
@@ -138,7 +138,7 @@ def sample_values(
     df: DataFrame, cols: Sequence[str], n: int = 5, order_by: Sequence[str] | str | None = None
 ) -> DataFrame:
     """``n`` rows of the chosen columns, for a look at their format."""
-    return preview(df, n, order_by).select(*cols)
+    return preview(df, n, order_by).select(*[column(c) for c in cols])
 
 
 def value_counts(df: DataFrame, cols: Sequence[str], weight: str | None = None) -> DataFrame:
@@ -156,7 +156,7 @@ def value_counts(df: DataFrame, cols: Sequence[str], weight: str | None = None)
         if isinstance(df.schema[c].dataType, unsafe):
             raise TypeError(f"values of {c!r} have no one-to-one text form")
     ids = [weight] if weight else []
-    text = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in cols])
-    long = text.unpivot(ids, list(cols), "column_name", "value")
+    text = df.select(*ids, *[column(c).cast("string").alias(c) for c in cols])
+    long = text.unpivot(ids, [column(c) for c in cols], "column_name", "value")
     rows = F.sum(weight) if weight else F.count(F.lit(1))
     return long.groupBy("column_name", "value").agg(rows.alias("rows"))

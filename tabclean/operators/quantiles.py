@@ -18,7 +18,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import as_double
+from ..functions import as_double, column
 
 SKETCH_ACCURACY = 1000  # rank error of a guess: 1/1000 of the rows it covers
 WINDOW_ROWS = 1 << 16  # most rows ever ranked inside one task
@@ -43,7 +43,7 @@ class _Search:
         return not self.done and self.inside > WINDOW_ROWS
 
     def between(self) -> Column:
-        v = F.col(self.column)
+        v = column(self.column)
         cond = v.isNotNull()
         if self.low is not None:
             cond = cond & (v > self.low)
@@ -62,7 +62,7 @@ def exact_quantiles(
     table, not a long plan.
     """
     values = df.select(*[as_double(df, c).alias(c) for c in cols])
-    sizes = values.agg(*[F.count(c).alias(str(i)) for i, c in enumerate(cols)]).first()
+    sizes = values.agg(*[F.count(column(c)).alias(str(i)) for i, c in enumerate(cols)]).first()
     searches = [
         _Search(
             c, i * len(probs) + j, min(max(1, math.ceil(p * sizes[i])), sizes[i]), sizes[i], done=sizes[i] == 0
@@ -93,7 +93,7 @@ def _guess(values: DataFrame, wide: list[_Search]) -> dict[int, tuple[float | No
     aggs = []
     for i, group in enumerate(groups):
         probes = [min(max(q, 0.0), 1.0) for s in group for q in spans[s.index]]
-        value = F.when(group[0].between(), F.col(group[0].column))
+        value = F.when(group[0].between(), column(group[0].column))
         aggs.append(
             F.percentile_approx(value, F.array(*map(F.lit, probes)), SKETCH_ACCURACY).alias(str(i))
         )
@@ -112,7 +112,7 @@ def _narrow(values: DataFrame, wide: list[_Search]) -> dict[int, _Search]:
     trial = {s.index: replace(s, low=guesses[s.index][0], high=guesses[s.index][1]) for s in wide}
     aggs = []
     for i, t in trial.items():
-        v = F.col(t.column)
+        v = column(t.column)
         under, on_low, on_high = (
             (v < t.low, v == t.low, v == t.high)
             if t.low is not None and t.high is not None
@@ -161,7 +161,7 @@ def _rank_rest(values: DataFrame, searches: list[_Search]) -> list[_Search]:
     if not rest:
         return searches
     names = [str(s.index) for s in rest]
-    keys = [F.when(s.between(), F.col(s.column)).alias(str(s.index)) for s in rest]
+    keys = [F.when(s.between(), column(s.column)).alias(str(s.index)) for s in rest]
     wanted = F.create_map(*[F.lit(x) for s in rest for x in (str(s.index), s.rank - s.below)])
     ordered = Window.partitionBy("search").orderBy("value")
     hits = (

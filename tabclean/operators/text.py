@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_blank, standardized, trimmed
+from ..functions import column, is_blank, standardized, trimmed
 
 
 def trim_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -22,9 +22,9 @@ def standardize_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def blank_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace blank text by null and leave every other value as it is, padding included."""
-    return df.withColumns({c: F.when(is_blank(c), None).otherwise(F.col(c)) for c in cols})
+    return df.withColumns({c: F.when(is_blank(c), None).otherwise(column(c)) for c in cols})
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast columns to the given Spark types."""
-    return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+    return df.withColumns({c: column(c).cast(t) for c, t in types.items()})

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..functions import is_missing, literal_rows
+from ..functions import column, is_missing, literal_rows
 from ..operators.outliers import outside_fence
 from ..operators.quality import SUMMARY, outside_domain, summary_aggregates
 from ..sources import materialize, read_raw, staged, write_curated
@@ -110,13 +110,13 @@ def profile_cleaned(
 def _summary_profile(counted: DataFrame, spec: TableSpec) -> DataFrame:
     """Counts, missing values and descriptive statistics: one aggregate, no shuffle of rows."""
     columns = [c for c in counted.columns if c != COPIES]
-    lengths = {f"{c}_length": F.length(c) for c in spec.length_cols}
+    lengths = {f"{c}_length": F.length(column(c)) for c in spec.length_cols}
     counted = counted.withColumns(lengths)
     described = [*spec.describe_cols, *lengths]
     weighted = spec.missing_stage == "before_dedup"
 
     def missing(c: str) -> Column:
-        test = is_missing(counted, c) if spec.missing_test == "null_or_blank" else F.col(c).isNull()
+        test = is_missing(counted, c) if spec.missing_test == "null_or_blank" else column(c).isNull()
         if weighted:
             return F.coalesce(F.sum(F.when(test, F.col(COPIES)).otherwise(0)), F.lit(0))
         return F.count_if(test)
@@ -193,15 +193,15 @@ def flagged_rows(
     outside = {}
     if spec.outlier_cols:
         outside = outside_fence(cleaned, spec.outlier_cols, 1.5, rel_err, limits)
-    as_is = {c: F.col(c) for c in cleaned.columns}
+    as_is = {c: column(c) for c in cleaned.columns}
     listed = []
     row = dict(as_is)
     for c, test in outside.items():
         listed.append(("outlier", c, test, dict(row)))
         if spec.outlier_policy == "null":
-            row[c] = F.when(test, None).otherwise(F.col(c))
+            row[c] = F.when(test, None).otherwise(column(c))
     for c in spec.non_positive_cols:
-        listed.append(("non_positive", c, F.col(c) <= 0, as_is))
+        listed.append(("non_positive", c, column(c) <= 0, as_is))
     for c, allowed in spec.domains.items():
         listed.append(("domain", c, outside_domain(cleaned, c, allowed), as_is))
     if not listed:
@@ -260,6 +260,7 @@ def run_table(
     curated: str,
     reports: str | None = None,
     rel_err: float = 0.01,
+    on_bad_value: str = "error",
 ) -> DataFrame:
     """Raw CSV to curated Parquet; returns the curated table.
 
@@ -275,7 +276,9 @@ def run_table(
     """
     nulling = spec.outlier_policy == "null"
     with sized_for(spark, raw):
-        source = read_raw(spark, raw, types=spec.types, multiline=spec.multiline)
+        source = read_raw(
+            spark, raw, types=spec.types, multiline=spec.multiline, on_bad_value=on_bad_value
+        )
         schema = clean_rows(source, spec).schema
         if not reports and not (nulling and rel_err < op.FINEST_SKETCH):
             write_curated(clean_table(source, spec, rel_err), curated)

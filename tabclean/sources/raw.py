@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import column
 from ..operators.names import normalized_name
 
 
@@ -47,7 +47,7 @@ def read_raw(
     df = reader.option("enforceSchema", False).schema(text).csv(path)
 
     def typed(name: str) -> Column:
-        value = F.col("`" + name.replace("`", "``") + "`")
+        value = column(name)
         dtype = types.get(normalized_name(name))
         if dtype is None:
             return value

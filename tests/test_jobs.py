@@ -221,8 +221,8 @@ def test_patients_and_labs_only_list(spark, rows):
 
 
 def test_column_names_with_quotes_can_be_profiled(spark):
-    df = spark.createDataFrame([("e1", "x", None)], "encounter_id string, medication_class string, `it's \\ \"n\"` int")
-    assert metrics(tc.profile_table(df, MEDICATIONS))["it's_\\_\"n\"", "missing_count"] == 1
+    df = spark.createDataFrame([("e1", "x", None)], "encounter_id string, medication_class string, `it's \\ \"n.\"` int")
+    assert metrics(tc.profile_table(df, MEDICATIONS))["it's_\\_\"n.\"", "missing_count"] == 1
 
 
 def test_pass_through_columns_are_kept_and_profiled(spark):
@@ -287,6 +287,18 @@ def test_command_line(spark, tmp_path, monkeypatch, rows):
     assert metrics(spark.read.parquet(f"{reports}/profile"))["*", "duplicates_removed"] == 1
 
 
+def test_bad_values_in_a_run(spark, tmp_path):
+    raw = tmp_path / "raw.csv"
+    raw.write_text(
+        "facility_id,facility_name,region,bed_count,teaching_hospital,avg_patients_per_nurse\n"
+        "f1,n,r,many,1,3.5\n"
+    )
+    with pytest.raises(Exception, match="many"):
+        tc.run_table(spark, FACILITIES, str(raw), str(tmp_path / "a"))
+    out = tc.run_table(spark, FACILITIES, str(raw), str(tmp_path / "b"), on_bad_value="null")
+    assert out.first().bed_count is None
+
+
 def test_run_agrees_with_clean_table(spark, tmp_path, rows, encounters):
     raw = str(tmp_path / "raw")
     tc.normalize_names(encounters).write.option("header", True).csv(raw)

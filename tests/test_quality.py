@@ -111,3 +111,26 @@ def test_profiles_need_one_scan_and_no_row_shuffle(spark, plan):
     text = plan(tc.value_counts(orders, ["o_orderstatus", "o_orderpriority"]), run=False)
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1
     assert "partial_count" in text
+
+
+def test_dots_in_column_names(spark, rows):
+    """Names are taken literally; a dot does not reach into a struct."""
+    t, n = "blood.type", "b.p."
+    df = spark.createDataFrame([(" A ", 1), ("", 2), (" A ", 1)], [t, n])
+    assert rows(tc.missing_counts(df)) == [(1, 0)] and rows(tc.null_counts(df)) == [(0, 0)]
+    assert rows(tc.standardize_text(df, [t]).select(f"`{t}`")) == [("",), ("a",), ("a",)]
+    assert rows(tc.blank_to_null(df, [t])) == [(None, 2), (" A ", 1), (" A ", 1)]
+    assert rows(tc.duplicate_report(df)) == [(3, 2, 1)]
+    assert rows(tc.distinct_values(df, t)) == [("",), (" A ",)]
+    assert rows(tc.distinct_counts(df, [t, n])) == [(2, 2)]
+    assert rows(tc.value_counts(df, [t])) == [(t, "", 1), (t, " A ", 2)]
+    assert rows(tc.describe_columns(df, [n]))[0][:2] == (n, 3)
+    assert rows(tc.text_length_stats(df, t))[0][:2] == (f"{t}_length", 3)
+    assert rows(tc.frequency(df, n)) == [(1, 2), (2, 1)]
+    assert rows(tc.domain_violations(df, n, (1,))) == [("", 2)]
+    assert rows(tc.non_positive(df, n)) == []
+    assert rows(tc.sample_values(df, [n], 1, order_by=f"`{n}`")) == [(1,)]
+    for rel_err in (0, 0.01):
+        assert rows(tc.quantile_bounds(df, [n], rel_err=rel_err))[0][:3] == (n, 1.0, 2.0)
+        assert rows(tc.iqr_outliers(df, n, rel_err=rel_err)) == []
+        assert rows(tc.null_outliers(df, [n], rel_err=rel_err)) == rows(df)
