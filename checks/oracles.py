@@ -217,11 +217,16 @@ SOURCE = {
 
 
 def through_csv(short: str) -> str:
-    """The raw rows as a CSV file holds them: an empty field and an empty text are both null."""
-    empty = {c: f"nullif({c}, '')" for c in TEXT[short].split() + ["encounter_id"]}
+    """The raw rows as a CSV file holds them.
+
+    An empty field and an empty text are both null, and columns without a declared type are text.
+    """
+    read = {c: f"nullif({c}, '')" for c in TEXT[short].split()}
     if short == "notes":
-        empty["note_text"] = "nullif(note_text, '')"
-    return f"SELECT {project(COLUMNS[short], empty)} FROM ({SOURCE[short]})"
+        read |= {c: f"nullif({c}, '')" for c in ("encounter_id", "note_text")}
+    if short == "medications":
+        read["dose_no"] = "CAST(dose_no AS VARCHAR)"
+    return f"SELECT {project(COLUMNS[short], read)} FROM ({SOURCE[short]})"
 
 
 def cleaned(short: str, source: str | None = None) -> str:
@@ -387,10 +392,9 @@ def all_oracles() -> dict[str, str]:
         out[f"job_{short}"] = job(short)
         out[f"profile_{short}"] = profile(short)
         out[f"values_{short}"] = values(short)
+        out[f"run_{short}"] = job(short, through_csv(short))
     for short in FLAGGED:
         out[f"flagged_{short}"] = flagged(short)
-    out["run_notes"] = job("notes", through_csv("notes"))
-    out["run_encounters"] = job("encounters", through_csv("encounters"))
     out["listing_encounters_outliers"] = encounters_severity_listing()
     out["listing_facilities_outliers"] = (
         f"{cleaned('facilities')} SELECT {project(COLUMNS['facilities'], {})} "

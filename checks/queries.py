@@ -320,10 +320,9 @@ def all_queries() -> dict[str, Query]:
         out[f"job_{short}"] = partial(job, name)
         out[f"profile_{short}"] = partial(profile, name)
         out[f"values_{short}"] = partial(values, name)
+        out[f"run_{short}"] = partial(run, name)
     for short in ("encounters", "facilities", "patients", "labs"):
         out[f"flagged_{short}"] = partial(flagged, SHORT[short])
-    out["run_notes"] = partial(run, "clinical_notes")
-    out["run_encounters"] = partial(run, "encounters")
     out["listing_encounters_outliers"] = partial(listing, "encounters", "outliers_encounter_severity")
     out["listing_facilities_outliers"] = partial(listing, "facilities", "outliers_bed_count")
     out["listing_facilities_domain"] = partial(listing, "facilities", "domain_teaching_hospital")
