@@ -12,7 +12,9 @@ from ..functions import column
 from .bpe import token_digests
 from .multiset_hash import compare_with_next
 from .packing import pack
+from .quality import score_documents
 from .sharding import interleave
+from .simhash import near_duplicates
 from .url_filter import Rule, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -39,6 +46,11 @@ def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return score_documents(table(spark, sf_dir, "documents"), labels)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return token_digests(
@@ -72,7 +84,7 @@ def op10_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    found = [op4_url_filter, op5_multiset_hash, op7_byte_bpe, op8_packing, op10_interleaved_shards]
+    found = [op2_simhash, op4_url_filter, op5_multiset_hash, op6_quality, op7_byte_bpe, op8_packing, op10_interleaved_shards]
     return {f.__name__: f for f in found}
 
 
