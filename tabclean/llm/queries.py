@@ -15,6 +15,8 @@ from .packing import pack
 from .quality import score_documents
 from .sharding import interleave
 from .simhash import near_duplicates
+from .suffix_dedup import remove_repeats
+from .superkmer_dedup import remove_repeated_words
 from .url_filter import Rule, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, "doc_id", "text", keep_first=False, with_text=False)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
     return found.select("doc_id", "fingerprint", "component_id")
@@ -63,6 +70,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), "doc_id", "text", path).drop("input_ids")
 
 
+def op9_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeated_words(docs, "doc_id", "text").drop("text")
+
+
 def op10_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.encode(F.coalesce(column("text"), F.lit("")), "utf-8")
     rows = table(spark, sf_dir, "documents").select(
@@ -84,7 +96,17 @@ def op10_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    found = [op2_simhash, op4_url_filter, op5_multiset_hash, op6_quality, op7_byte_bpe, op8_packing, op10_interleaved_shards]
+    found = [
+        op1_suffix_array_dedup,
+        op2_simhash,
+        op4_url_filter,
+        op5_multiset_hash,
+        op6_quality,
+        op7_byte_bpe,
+        op8_packing,
+        op9_superkmer_dedup,
+        op10_interleaved_shards,
+    ]
     return {f.__name__: f for f in found}
 
 
