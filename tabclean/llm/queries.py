@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import column
 from .bpe import token_digests
+from .embedding_dedup import near_duplicates as near_vectors
 from .multiset_hash import compare_with_next
 from .packing import pack
 from .quality import score_documents
@@ -44,6 +45,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", 0.93)
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -99,6 +104,7 @@ def all_queries() -> dict[str, Query]:
     found = [
         op1_suffix_array_dedup,
         op2_simhash,
+        op3_pivot_index,
         op4_url_filter,
         op5_multiset_hash,
         op6_quality,
