@@ -10,9 +10,10 @@ travels as one row: a super-k-mer. Grouping by minimiser brings all equal window
 3. Where a minimiser has several strings, these (one of each) are fetched from the texts and sent to
    a bucket by minimiser, which compares their windows exactly.
 
-Step 3 takes minimisers with at most ``GROUP_MOST`` occurrences. Beyond that a bucket would gather
-an unbounded group, so such strings are taken apart into windows, counted by a 128-bit digest with
-map-side partial sums.
+A minimiser with more than ``GROUP_MOST`` occurrences is dealt over several buckets by a salt. Most
+of its windows meet a copy in their own bucket. Each such bucket then tells the digests of its
+distinct windows, once each, and counting those finds copies in other buckets; so a digest comes at
+most once from a bucket, however many texts hold the window.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from ..sources.scratch import materialize, staged
 from .common import CHUNK, flat, row_key, texts
 from .memo import Memo
 
-GROUP_MOST = 1000
+GROUP_MOST = 4096
 BUCKET_BYTES = 1 << 20
 MULT = np.uint64(0x9E3779B97F4A7C15)
 PLACE = np.uint64(CHUNK * 2 - 1)  # low bits that hold a place inside a chunk
@@ -238,7 +239,7 @@ def _fetch(unit: Unit):
             whole = batch.column(names["text"])
             fields = wanted.values
             ends = wanted.offsets.to_numpy()
-            start, n, m = (fields.field(i).to_numpy() for i in range(3))
+            start, n, m, salt = (fields.field(i).to_numpy() for i in range(4))
             rows, places, pieces, size = [], [], [], 0
             for row in range(len(batch)):
                 cut = unit.cutter(whole[row].as_buffer().to_pybytes())
@@ -249,19 +250,19 @@ def _fetch(unit: Unit):
                     rows.append(row)
                     places.append(i)
                     if size > 4 * BUCKET_BYTES:
-                        yield _fetched(batch, names, rows, m[places], start[places], pieces)
+                        yield _fetched(batch, names, rows, m[places], salt[places], start[places], pieces)
                         rows, places, pieces, size = [], [], [], 0
             if rows:
-                yield _fetched(batch, names, rows, m[places], start[places], pieces)
+                yield _fetched(batch, names, rows, m[places], salt[places], start[places], pieces)
 
     return run
 
 
-def _fetched(batch, names, rows, m, start, pieces) -> pa.RecordBatch:
+def _fetched(batch, names, rows, m, salt, start, pieces) -> pa.RecordBatch:
     taken = batch.select([names["id"], names["k1"], names["k2"]]).take(pa.array(rows))
     return pa.RecordBatch.from_arrays(
-        [pa.array(m), *taken.columns, pa.array(start), pa.array(pieces, pa.binary())],
-        names=["m", "id", "k1", "k2", "start", "piece"],
+        [pa.array(m), pa.array(salt), *taken.columns, pa.array(start), pa.array(pieces, pa.binary())],
+        names=["m", "salt", "id", "k1", "k2", "start", "piece"],
     )
 
 
@@ -269,10 +270,12 @@ Compare = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 SPANS = "k1 long, k2 long, start long, length long"
 
 
-def _compare_buckets(unit: Unit, compare: Compare, keep_first: bool):
-    """Tasks over (m, id, k1, k2, start, piece), sorted: spans of units in repeated windows.
+def _compare_buckets(unit: Unit, compare: Compare, keep_first: bool, digests: bool = False):
+    """Tasks over (m, salt, id, k1, k2, start, piece), sorted: spans of units in repeated windows.
 
-    A minimiser's pieces are compared together; several minimisers share a call.
+    The pieces of a (minimiser, salt) are compared together; several of them share a call. With
+    ``digests`` the tasks give no spans but each distinct window of a bucket: its digest, its first
+    place, and whether it is the only one of its kind there.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,72 +283,79 @@ def _compare_buckets(unit: Unit, compare: Compare, keep_first: bool):
         size = 0
         for batch in batches:
             for at in range(0, batch.num_rows, 1 << 12):
-                part = batch.slice(at, 1 << 12)
-                held.append(part)
-                data, ends = flat(part.column(5))
-                size += int(ends[-1] - ends[0])
+                held.append(batch.slice(at, 1 << 12))
+                size += _size(held[-1])
                 if size > BUCKET_BYTES:
                     joined = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                    m = joined.column(0).to_numpy()
-                    open_from = int(np.flatnonzero(m != m[-1])[-1]) + 1 if m[0] != m[-1] else 0
-                    if open_from:
-                        yield from settle(joined.slice(0, open_from))
-                    held = [joined.slice(open_from)]
-                    data, ends = flat(held[0].column(5))
-                    size = int(ends[-1] - ends[0])
+                    m, salt = joined.column(0).to_numpy(), joined.column(1).to_numpy()
+                    closed = np.flatnonzero((m != m[-1]) | (salt != salt[-1]))
+                    if len(closed):
+                        yield from settle(joined.slice(0, int(closed[-1]) + 1))
+                        joined = joined.slice(int(closed[-1]) + 1)
+                    held, size = [joined], _size(joined)
         if held:
-            joined = pa.Table.from_batches(held).combine_chunks().to_batches()
-            yield from (out for one in joined for out in settle(one))
+            for one in pa.Table.from_batches(held).combine_chunks().to_batches():
+                yield from settle(one)
 
     def settle(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         if keep_first:  # rows equal in id and text fetch the same strings; one of them counts
-            fields = [batch.column(i).to_numpy() for i in (0, 2, 3, 4)]
+            fields = [batch.column(i).to_numpy() for i in (0, 3, 4, 5)]
             new = np.ones(len(batch), bool)
             new[1:] = np.logical_or.reduce([f[1:] != f[:-1] for f in fields])
             batch = batch.filter(pa.array(new))
-        pieces = list(texts(batch.column(5)))
+        pieces = list(texts(batch.column(6)))
         counts, repeated, later = compare(pieces)
-        hit = later if keep_first else repeated
         first = np.concatenate([[0], np.cumsum(counts)])[:-1]
         piece = np.repeat(np.arange(len(pieces)), counts)
-        place = np.arange(len(hit)) - first[piece] + batch.column(4).to_numpy()[piece]
-        yield _spans(batch, piece[hit], place[hit], unit.window)
+        place = np.arange(len(piece)) - first[piece]
+        if not digests:
+            hit = later if keep_first else repeated
+            piece, place = piece[hit], place[hit]
+            yield _spans(batch, piece, place + batch.column(5).to_numpy()[piece], unit.window)
+            return
+        lone = ~repeated
+        for at in range(0, len(pieces), 256):
+            mine = np.flatnonzero(~later[first[at] : first[at + 256] if at + 256 < len(pieces) else None])
+            mine += first[at]
+            if len(mine):
+                yield told(batch, pieces, piece[mine], place[mine], lone[mine])
+
+    def told(batch, pieces: list[bytes], piece, place, lone) -> pa.RecordBatch:
+        windows: dict[int, list[bytes]] = {}
+        found = []
+        for i, at in zip(piece.tolist(), place.tolist(), strict=True):
+            if i not in windows:
+                windows = {i: unit.windows(pieces[i])}
+            found.append(xxhash.xxh3_128_digest(windows[i][at]))
+        halves = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
+        taken = batch.select([2, 3, 4]).take(pa.array(piece))
+        start = place + batch.column(5).to_numpy()[piece]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(halves[:, 0]), pa.array(halves[:, 1]), *taken.columns, pa.array(start), pa.array(lone)],
+            names=["h1", "h2", "id", "k1", "k2", "start", "lone"],
+        )
 
     return run
 
 
+def _size(batch: pa.RecordBatch) -> int:
+    _, ends = flat(batch.column(6))
+    return int(ends[-1] - ends[0])
+
+
 def _spans(batch: pa.RecordBatch, piece: np.ndarray, place: np.ndarray, window: int) -> pa.RecordBatch:
     """Runs of neighbouring windows of a piece as (k1, k2, start, length in units)."""
     new = np.ones(len(piece), bool)
     new[1:] = (piece[1:] != piece[:-1]) | (place[1:] != place[:-1] + 1)
     first = np.flatnonzero(new)
     sizes = np.diff(np.append(first, len(piece)))
-    k1, k2 = (batch.column(i).to_numpy()[piece[first]] for i in (2, 3))
+    k1, k2 = (batch.column(i).to_numpy()[piece[first]] for i in (3, 4))
     return pa.RecordBatch.from_arrays(
         [pa.array(k1), pa.array(k2), pa.array(place[first]), pa.array(sizes.astype(np.int64) + window - 1)],
         names=["k1", "k2", "start", "length"],
     )
 
 
-def _take_apart(unit: Unit):
-    """Tasks that give the digest of every window of a piece."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, piece in enumerate(texts(batch.column(5))):
-                digests = b"".join([xxhash.xxh3_128_digest(w) for w in unit.windows(piece)])
-                halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
-                count = len(halves)
-                taken = batch.select([1, 2, 3]).take(pa.array(np.full(count, row)))
-                start = batch.column(4)[row].as_py() + np.arange(count)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(halves[:, 0]), pa.array(halves[:, 1]), *taken.columns, pa.array(start)],
-                    names=["h1", "h2", "id", "k1", "k2", "start"],
-                )
-
-    return run
-
-
 def shaped(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Key, id and text of every row, and its other columns as c0, c1, ..., so that no name clashes."""
     keys = row_key(id_col, text_col)
@@ -404,25 +414,28 @@ def repeated_spans(
         copies = copies.where(~here.eqNullSafe(F.col("first")))
     copies = copies.select("k1", "k2", "start", (F.col("n") + (unit.window - 1)).cast("long").alias("length"))
 
-    def pieces(which) -> DataFrame:
-        wanted = strings.where("mixed").where(which).select("m", "first.*")
-        need = F.struct("start", "n", "m")
+    order = ["m", "salt", "id", "k1", "k2", "start"]
+    salts = F.ceil(F.col("times") / GROUP_MOST)
+
+    def buckets(which) -> DataFrame:
+        wanted = strings.where("mixed").where(which).select("m", salts.alias("salts"), "first.*")
+        salt = F.pmod(F.xxhash64("k1", "k2", "start"), F.col("salts")).cast("long")
+        need = F.struct("start", "n", "m", salt.alias("salt"))
         wanted = wanted.groupBy("k1", "k2").agg(F.collect_list(need).alias("need"))  # of one text
         # All columns of ``shape``, so that this join and the one in ``attach_spans`` share a shuffle
-        return shape.join(wanted, ["k1", "k2"]).mapInArrow(
-            _fetch(unit), f"m long, id {kind}, k1 long, k2 long, start long, piece binary"
+        fetched = shape.join(wanted, ["k1", "k2"]).mapInArrow(
+            _fetch(unit), f"m long, salt long, id {kind}, k1 long, k2 long, start long, piece binary"
         )
+        return fetched.repartition(partitions, "m", "salt").sortWithinPartitions(*order)
 
-    order = ["m", "id", "k1", "k2", "start"]
-    few = pieces(F.col("times") <= GROUP_MOST).repartition(partitions, "m").sortWithinPartitions(*order)
-    compared = few.mapInArrow(_compare_buckets(unit, compare, keep_first), SPANS)
-
-    many = pieces(F.col("times") > GROUP_MOST).mapInArrow(
-        _take_apart(unit), f"h1 long, h2 long, id {kind}, k1 long, k2 long, start long"
+    compared = buckets(salts >= 1).mapInArrow(_compare_buckets(unit, compare, keep_first), SPANS)
+    told = buckets(salts > 1).mapInArrow(
+        _compare_buckets(unit, compare, keep_first, digests=True),
+        f"h1 long, h2 long, id {kind}, k1 long, k2 long, start long, lone boolean",
     )
     here = F.struct("id", "k1", "k2", "start")
-    counted = many.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times"), F.min(here).alias("first"))
-    apart = many.join(counted.where("times > 1"), ["h1", "h2"])
+    counted = told.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("buckets"), F.min(here).alias("first"))
+    apart = (told if keep_first else told.where("lone")).join(counted.where("buckets > 1"), ["h1", "h2"])
     if keep_first:
         apart = apart.where(~here.eqNullSafe(F.col("first")))
     apart = apart.select("k1", "k2", "start", F.lit(unit.window).cast("long").alias("length"))
