@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,12 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ..functions import column
+from .bpe import byte_characters
 from .common import span_groups, text_of, texts
 from .memo import Memo
 
 RUN_TOKENS = 1 << 21  # tokens of the documents that one run packs together
 PART_BYTES = 1 << 20
-PLAIN = re.compile(rb"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]?)")
 
 
 class WordCodec:
@@ -43,28 +45,32 @@ class WordCodec:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.shown = dict(enumerate(byte_characters()))
         self.part = Memo(self._parts)
         self.memo = Memo(self._words)
 
-    def _parts(self, parts: list[bytes]) -> Iterator[bytes]:
+    def _parts(self, parts: list[str]) -> Iterator[bytes]:
+        shown, tokenize = self.shown, self.model.tokenize
         for part in parts:
-            yield np.array([t.id for t in self.model.tokenize(part.decode())], np.uint32).tobytes()
+            written = part if part.isascii() else part.encode().decode("latin-1").translate(shown)
+            yield array("I", [t.id for t in tokenize(written)]).tobytes()
 
     def _words(self, words: list[bytes]) -> list[bytes]:
-        """Plain ASCII words go straight to the model in lower case, which is what the tokenizer's own
-        steps make of them; all others take those steps."""
-        plain, other = {}, []
+        """Plain words go to the model as what the tokenizer's own steps make of them, which is the word
+        in lower case and the mark after it, in byte characters; all others take those steps."""
+        plain: dict[bytes, tuple] = {}
+        other = []
         for word in words:
-            if word.isascii() and word.isalnum():
-                plain[word] = PLAIN.findall(word.lower())
-            elif word.isascii() and word[:-1].isalpha() and word[-1:] in b".,;:!?|":
-                plain[word] = [word[:-1].lower(), word[-1:]]
+            match = PLAIN.fullmatch(word.decode())
+            if match:
+                letters, mark = match.groups()
+                plain[word] = (letters.lower(), mark) if mark else (letters.lower(),)
             else:
                 other.append(word)
         self.part.fill(plain.values())
         found = {w: b"".join([self.part[p] for p in parts]) for w, parts in plain.items()}
         ids = self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
-        found.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(other, ids, strict=True))
+        found.update((w, array("I", e.ids).tobytes()) for w, e in zip(other, ids, strict=True))
         return [found[w] for w in words]
 
     def encode(self, docs: list[bytes]) -> list[np.ndarray]:
