@@ -272,7 +272,7 @@ def _partitions(df: DataFrame) -> int:
 
 
 def _labelled(df: DataFrame, id_col: str, text_col: str, words: int, max_bits: int, seed: int):
-    """Stored (k1, k2, id, fp) of every row, and stored (class, component_low) of every fingerprint."""
+    """Stored (k1, k2, id, fp) of every row, and (class, component, component_low) of every fingerprint."""
     k1, k2 = row_key(id_col, text_col)
     rows = df.select(
         k1.alias("k1"),
@@ -288,7 +288,7 @@ def _labelled(df: DataFrame, id_col: str, text_col: str, words: int, max_bits: i
         "fp", "low", F.coalesce("component", "fp").alias("component")
     )
     lows = labelled.groupBy("component").agg(F.min("low").alias("component_low"))
-    least = labelled.join(lows, "component").select(F.col("fp").alias("class"), "component_low")
+    least = labelled.join(lows, "component").select(F.col("fp").alias("class"), "component", "component_low")
     return rows, materialize(least, "simhash-least")
 
 
@@ -320,7 +320,7 @@ def keep_one(
     placed = rows.join(least, F.col("fp") == F.col("class"))
     chosen = (
         placed.where(F.col("id") == F.col("component_low"))
-        .groupBy("component_low")
+        .groupBy("component")  # two components may share a repeated id
         .agg(F.min(F.struct("k1", "k2")).alias("key"))
         .select(F.col("key.k1").alias(k1), F.col("key.k2").alias(k2), F.lit(False).alias(other))
     )

@@ -298,6 +298,15 @@ def _compare_buckets(unit: Unit, compare: Compare, keep_first: bool, digests: bo
                 yield from settle(one)
 
     def settle(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        # Buckets of one minimiser stay apart: within a call, pieces with equal windows must come in
+        # the order of the table, and what a bucket tells must not depend on how rows are batched
+        m, salt = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        edges = np.flatnonzero((m[1:] == m[:-1]) & (salt[1:] != salt[:-1])) + 1
+        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(batch)], strict=True):
+            if b > a:
+                yield from settle_apart(batch.slice(a, b - a))
+
+    def settle_apart(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         if keep_first:  # rows equal in id and text fetch the same strings; one of them counts
             fields = [batch.column(i).to_numpy() for i in (0, 3, 4, 5)]
             new = np.ones(len(batch), bool)
