@@ -34,6 +34,7 @@ from .common import CHUNK, flat, row_key, texts
 from .memo import Memo
 
 GROUP_MOST = 4096
+LIST_MOST = 128
 BUCKET_BYTES = 1 << 20
 MULT = np.uint64(0x9E3779B97F4A7C15)
 PLACE = np.uint64(CHUNK * 2 - 1)  # low bits that hold a place inside a chunk
@@ -409,19 +410,29 @@ def repeated_spans(
     ids = shape.select("k1", "k2", "id").distinct() if keep_first else None
     if keep_first:
         found = materialize(found.join(ids, ["k1", "k2"]), f"{name}-found-ids")
-    lead = ["id"] if keep_first else []
-    first = F.min(F.struct(*lead, "k1", "k2", "start", "n")).alias("first")
-    strings = found.groupBy("m", "d").agg(
-        F.count(F.lit(1)).alias("copies"), first, F.max("mixed").alias("mixed"), F.max("times").alias("times")
+    # Occurrences of a string in lists of about ``LIST_MOST``, dealt by a salt where it is frequent
+    place = F.struct(*(["id"] if keep_first else []), "k1", "k2", "start", "n")
+    spread = F.pmod(F.xxhash64("k1", "k2", "start"), F.ceil(F.col("times") / LIST_MOST)).cast("int")
+    lists = found.groupBy("m", "d", spread.alias("list")).agg(
+        F.collect_list(place).alias("places"), F.max("mixed").alias("mixed"), F.max("times").alias("times")
+    )
+    lists = materialize(lists, f"{name}-lists")
+    strings = lists.groupBy("m", "d").agg(
+        F.sum(F.size("places")).alias("copies"),
+        F.min(F.array_min("places")).alias("first"),
+        F.max("mixed").alias("mixed"),
+        F.max("times").alias("times"),
     )
     strings = materialize(strings, f"{name}-strings")
 
     copied = strings.where("copies > 1").select("m", "d", "first")
-    copies = found.join(copied, ["m", "d"])
+    copies = lists.select("m", "d", "list", "places").join(copied, ["m", "d"])
+    copies = copies.repartition(partitions, "m", "d", "list")  # the lists of a frequent string part again
+    copies = copies.select("first", F.explode("places").alias("at"))
     if keep_first:
-        here = F.struct("id", "k1", "k2", "start", "n")
-        copies = copies.where(~here.eqNullSafe(F.col("first")))
-    copies = copies.select("k1", "k2", "start", (F.col("n") + (unit.window - 1)).cast("long").alias("length"))
+        copies = copies.where(F.col("at") != F.col("first"))
+    length = (F.col("at.n") + (unit.window - 1)).cast("long").alias("length")
+    copies = copies.select("at.k1", "at.k2", "at.start", length)
 
     order = ["m", "salt", "id", "k1", "k2", "start"]
     salts = F.ceil(F.col("times") / GROUP_MOST)
