@@ -179,3 +179,16 @@ TABLE_NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
+
+
+_QUOTED = """
+SELECT c_custkey,
+       'he said "' || c_mktsegment || '", then left' AS note,
+       {whole} AS severity,
+       CASE WHEN c_custkey % 3 = 0 THEN '2.5' ELSE {dose} END AS dose
+FROM customer
+"""
+# The same customers twice, numbers written in two ways
+QUOTED = (
+    _QUOTED.format(whole="'3.0'", dose="'1'") + "UNION ALL" + _QUOTED.format(whole="'3'", dose="'1.0'")
+)

@@ -57,14 +57,18 @@ OPERATORS = {
     "csv_scan": "SELECT * FROM customer",
     "csv_scan_inferred": "SELECT * FROM part",
     "csv_scan_multiline": "SELECT * FROM documents",
+    **dict.fromkeys(("csv_scan_quoted", "csv_scan_quoted_multiline"), """
+        SELECT c_custkey, 'he said "' || c_mktsegment || '", then left' AS note,
+               CAST(3 AS DOUBLE) AS severity, CASE WHEN c_custkey % 3 = 0 THEN 2.5::DOUBLE ELSE 1::DOUBLE END AS dose
+        FROM customer
+    """),
     "parquet_roundtrip": "SELECT * FROM part",
     "parquet_partitioned": "SELECT * FROM orders",
     "schema_report": """
         SELECT column_name,
-               CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
-                              WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' END AS data_type
-        FROM (VALUES ('c_custkey', 'BIGINT'), ('c_name', 'VARCHAR'), ('c_nationkey', 'INTEGER'),
-                     ('c_acctbal', 'DOUBLE'), ('c_mktsegment', 'VARCHAR')) AS t(column_name, data_type)
+               CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+                                WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' END AS data_type
+        FROM (DESCRIBE customer)
     """,
     "normalize_names": """
         SELECT c_custkey AS c_cust_key, c_name, c_nationkey AS c_nation_key, c_acctbal,
@@ -79,7 +83,7 @@ OPERATORS = {
     "trim_columns": f"SELECT c_custkey, trim(seg, ' ') AS seg, bal, flag FROM {D}",
     "standardize_text": f"SELECT c_custkey, lower(trim(seg, ' ')) AS seg, bal, flag FROM {D}",
     "standardize_documents": """
-        SELECT doc_id, lower(trim(text, ' ')) AS text, lower(trim(source, ' ')) AS source FROM documents
+        SELECT * REPLACE (lower(trim(text, ' ')) AS text, lower(trim(source, ' ')) AS source) FROM documents
     """,
     "blank_to_null": f"""
         SELECT c_custkey, CASE WHEN trim(seg, ' ') = '' THEN NULL ELSE seg END AS seg, bal, flag FROM {D}
@@ -88,7 +92,8 @@ OPERATORS = {
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, seg, bal, CAST(flag AS BIGINT) AS flag FROM {D}
     """,
     "drop_duplicate_rows": f"SELECT DISTINCT * FROM {D}",
-    "drop_duplicate_turns": "SELECT DISTINCT role, turn FROM conversations",
+    "drop_duplicate_turns": "SELECT DISTINCT * FROM conversations",
+    "drop_duplicate_documents": "SELECT DISTINCT * EXCLUDE (doc_id) FROM documents",
     "count_copies": f"""
         SELECT c_custkey, lower(trim(seg, ' ')) AS seg, bal, flag, count(*) AS copies
         FROM {D} GROUP BY 1, 2, 3, 4
@@ -142,7 +147,7 @@ OPERATORS = {
         SELECT e.* FROM events e, ({quartiles("events", "value")}) WHERE {outlier("value")}
     """,
     "iqr_outliers_documents": f"""
-        SELECT doc_id, n_chars FROM documents, ({quartiles("documents", "n_chars")})
+        SELECT documents.* FROM documents, ({quartiles("documents", "n_chars")})
         WHERE {outlier("n_chars")}
     """,
     "null_outliers": f"""
@@ -150,9 +155,9 @@ OPERATORS = {
         FROM {D}, ({quartiles(D, "bal")})
     """,
     "null_outliers_events": f"""
-        SELECT event_id, CASE WHEN u THEN NULL ELSE user_id END AS user_id,
-               CASE WHEN v THEN NULL ELSE value END AS value
-        FROM (SELECT event_id, user_id, value, {outlier("value")} AS v
+        SELECT * EXCLUDE (u, v) REPLACE (CASE WHEN u THEN NULL ELSE user_id END AS user_id,
+                                         CASE WHEN v THEN NULL ELSE value END AS value)
+        FROM (SELECT events.*, {outlier("value")} AS v
               FROM events, ({quartiles("events", "value")})) a
         JOIN (SELECT event_id, {outlier("user_id")} AS u
               FROM events, ({quartiles("events", "user_id")})) b USING (event_id)
@@ -219,13 +224,11 @@ SOURCE = {
 def through_csv(short: str) -> str:
     """The raw rows as a CSV file holds them.
 
-    An empty field and an empty text are both null, and columns without a declared type are text.
+    An empty field and an empty text are both null; numbers keep the type they had.
     """
     read = {c: f"nullif({c}, '')" for c in TEXT[short].split()}
     if short == "notes":
         read |= {c: f"nullif({c}, '')" for c in ("encounter_id", "note_text")}
-    if short == "medications":
-        read["dose_no"] = "CAST(dose_no AS VARCHAR)"
     return f"SELECT {project(COLUMNS[short], read)} FROM ({SOURCE[short]})"
 
 

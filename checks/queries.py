@@ -73,6 +73,16 @@ def csv_scan_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.read_raw(spark, path, types={"doc_id": "bigint", "n_chars": "bigint"}, multiline=True)
 
 
+def csv_scan_quoted(spark: SparkSession, sf_dir: str, multiline: bool) -> DataFrame:
+    """Doubled quotes with commas after them, a count column written with a decimal point, and an
+    undeclared column that holds 1 in some rows and 1.0 in others."""
+    rows = from_sql(spark, sf_dir, inputs.QUOTED)
+    path = as_csv(rows, "csv_scan_quoted")
+    types = {"c_custkey": "bigint", "note": "string"}
+    read = tc.read_raw(spark, path, types=types, multiline=multiline, infer_rest=True)
+    return tc.drop_duplicate_rows(read)
+
+
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "parquet_roundtrip")
     tc.write_curated(table(spark, sf_dir, "part"), path)
@@ -86,7 +96,10 @@ def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tc.schema_report(table(spark, sf_dir, "customer"))
+    """Of a CSV scan: text columns and the key declared, the other types found in the data."""
+    path = as_csv(table(spark, sf_dir, "customer"), "schema_report")
+    types = {"c_custkey": "bigint", "c_name": "string", "c_mktsegment": "string"}
+    return tc.schema_report(tc.read_raw(spark, path, types=types, infer_rest=True))
 
 
 def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,8 +136,7 @@ def standardize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standardize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return tc.standardize_text(docs, ["text", "source"])
+    return tc.standardize_text(table(spark, sf_dir, "documents"), ["text", "source"])
 
 
 def blank_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +152,11 @@ def drop_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_duplicate_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tc.drop_duplicate_rows(table(spark, sf_dir, "conversations").select("role", "turn"))
+    return tc.drop_duplicate_rows(table(spark, sf_dir, "conversations"))
+
+
+def drop_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tc.drop_duplicate_rows(table(spark, sf_dir, "documents").drop("doc_id"))
 
 
 def count_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,8 +252,7 @@ def iqr_outliers_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def iqr_outliers_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    return tc.iqr_outliers(docs, "n_chars", rel_err=0)
+    return tc.iqr_outliers(table(spark, sf_dir, "documents"), "n_chars", rel_err=0)
 
 
 def null_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,8 +260,7 @@ def null_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def null_outliers_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    return tc.null_outliers(events, ["value", "user_id"], rel_err=0)
+    return tc.null_outliers(table(spark, sf_dir, "events"), ["value", "user_id"], rel_err=0)
 
 
 # Table jobs
@@ -307,7 +321,7 @@ def all_queries() -> dict[str, Query]:
         csv_scan, csv_scan_inferred, csv_scan_multiline, parquet_roundtrip, parquet_partitioned,
         schema_report, normalize_names, rename_positional, preview, sample_values,
         trim_columns, standardize_text, standardize_documents, blank_to_null, cast_columns,
-        drop_duplicate_rows, drop_duplicate_turns, count_copies, duplicate_report,
+        drop_duplicate_rows, drop_duplicate_turns, drop_duplicate_documents, count_copies, duplicate_report,
         row_count, null_counts, missing_counts, missing_ratios,
         distinct_values, distinct_counts, cardinality_ratio, cardinality_ratios, value_counts,
         describe_columns, text_length_stats, frequency, domain_violations, non_positive,
@@ -316,6 +330,8 @@ def all_queries() -> dict[str, Query]:
         null_outliers, null_outliers_events,
     ]
     out: dict[str, Query] = {f.__name__: f for f in plain}
+    out["csv_scan_quoted"] = partial(csv_scan_quoted, multiline=False)
+    out["csv_scan_quoted_multiline"] = partial(csv_scan_quoted, multiline=True)
     for short, name in SHORT.items():
         out[f"job_{short}"] = partial(job, name)
         out[f"profile_{short}"] = partial(profile, name)

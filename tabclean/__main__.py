@@ -17,6 +17,12 @@ def main() -> None:
     parser.add_argument("--reports", help="folder for the profile and the listings")
     parser.add_argument("--rel-err", type=float, default=0.01, help="rank error of quartiles")
     parser.add_argument("--on-bad-value", choices=("error", "null"), default="error")
+    parser.add_argument(
+        "--multiline",
+        action=argparse.BooleanOptionalAction,
+        default=None,
+        help="whether quoted fields hold line breaks; if so each file is one task (default: by table)",
+    )
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"tabclean {args.table}").getOrCreate()
     run_table(
@@ -27,6 +33,7 @@ def main() -> None:
         reports=args.reports,
         rel_err=args.rel_err,
         on_bad_value=args.on_bad_value,
+        multiline=args.multiline,
     )
 
 

@@ -2,7 +2,7 @@
 
 from .dedup import count_copies, drop_duplicate_rows, duplicate_report
 from .names import normalize_names, normalized_name, rename_positional, schema_report
-from .outliers import FINEST_SKETCH, Fence, fences, iqr_outliers, null_outliers, quantile_bounds
+from .outliers import FINEST_SKETCH, Fence, exact, fences, iqr_outliers, null_outliers, quantile_bounds
 from .quality import (
     cardinality_ratio,
     cardinality_ratios,
@@ -26,6 +26,7 @@ from .text import blank_to_null, cast_columns, standardize_text, trim_columns
 
 __all__ = [
     "FINEST_SKETCH",
+    "exact",
     "Fence",
     "blank_to_null",
     "cardinality_ratio",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import as_double, column, literal_rows, quoted
 from .quantiles import exact_quantiles
 
-FINEST_SKETCH = 1e-4  # below this rank error a sketch grows too large; quantiles are exact instead
+FINEST_SKETCH = 1e-4  # a sketch of smaller rank error grows too large
 
 
 class Fence(NamedTuple):
@@ -23,10 +23,11 @@ class Fence(NamedTuple):
     upper: float | None
 
 
-def _exact(rel_err: float) -> bool:
-    if not 0 <= rel_err <= 1:
-        raise ValueError("rel_err must lie between 0 and 1")
-    return rel_err < FINEST_SKETCH
+def exact(rel_err: float) -> bool:
+    """Whether a rank error asks for exact quartiles: only 0 does."""
+    if rel_err != 0 and not FINEST_SKETCH <= rel_err <= 1:
+        raise ValueError(f"rel_err must be 0 (exact) or lie between {FINEST_SKETCH} and 1")
+    return rel_err == 0
 
 
 def _sketch(df: DataFrame, cols: Sequence[str], k: float, rel_err: float) -> DataFrame:
@@ -59,7 +60,7 @@ def fences(
     """
     if not cols:
         return {}
-    if not _exact(rel_err):
+    if not exact(rel_err):
         row = _sketch(df, cols, k, rel_err).first()
         return {c: Fence(*row[c]) for c in cols}
     out = {}
@@ -79,7 +80,7 @@ def quantile_bounds(
 
     NaN is left out; a column without values gets nulls. All columns share one pass.
     """
-    if _exact(rel_err):
+    if exact(rel_err):
         rows = [(c, *f) for c, f in fences(df, cols, k, rel_err).items()]
         return literal_rows(
             df.sparkSession,
@@ -98,7 +99,7 @@ def outside_fence(
     limits: Mapping[str, Fence] | None = None,
 ) -> dict[str, Column]:
     """Per column the test for lying outside its fence; null where value or fence is null."""
-    if limits is None and _exact(rel_err):
+    if limits is None and exact(rel_err):
         limits = fences(df, cols, k, rel_err)
     if limits is not None:
         lo = {c: F.lit(limits[c].lower).cast("double") for c in cols}

@@ -70,9 +70,11 @@ def exact_quantiles(
         for i, c in enumerate(cols)
         for j, p in enumerate(probs)
     ]
-    while any(s.wide for s in searches):
-        narrowed = _narrow(values, [s for s in searches if s.wide])
+    open_ = [s for s in searches if not s.done]  # every search is narrowed once, whatever its size
+    while open_:
+        narrowed = _narrow(values, open_)
         searches = [narrowed.get(s.index, s) for s in searches]
+        open_ = [s for s in searches if s.wide]
     searches = _rank_rest(values, searches)
     return {c: [s.answer for s in searches if s.column == c] for c in cols}
 

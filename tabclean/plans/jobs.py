@@ -14,7 +14,7 @@ from ..functions import column, is_missing, literal_rows
 from ..operators.outliers import outside_fence
 from ..operators.quality import SUMMARY, outside_domain, summary_aggregates
 from ..sources import materialize, read_raw, staged, write_curated
-from .sizing import sized_for
+from .sizing import PARTITION_BYTES, sized_for
 from .spec import TableSpec
 
 COPIES = "__copies"
@@ -76,7 +76,7 @@ def clean_table(df: DataFrame, spec: TableSpec, rel_err: float = 0.01) -> DataFr
     rows are stored as a scratch table first and the plan goes on from there.
     """
     rows = clean_rows(df, spec)
-    if spec.outlier_policy == "null" and rel_err < op.FINEST_SKETCH:
+    if spec.outlier_policy == "null" and op.exact(rel_err):
         rows = materialize(rows, spec.name)
     return apply_outlier_policy(rows, spec, rel_err)
 
@@ -239,7 +239,7 @@ def detail_reports(
         out[f"frequency_{c}"] = op.frequency(cleaned, c)
     for c, allowed in spec.domains.items():
         out[f"domain_{c}"] = op.domain_violations(cleaned, c, allowed)
-    if limits is None and spec.outlier_cols and rel_err < op.FINEST_SKETCH:
+    if limits is None and spec.outlier_cols and op.exact(rel_err):
         limits = op.fences(cleaned, spec.outlier_cols, rel_err=rel_err)
     frame = cleaned
     for c in spec.outlier_cols:
@@ -261,9 +261,15 @@ def run_table(
     reports: str | None = None,
     rel_err: float = 0.01,
     on_bad_value: str = "error",
+    multiline: bool | None = None,
+    partition_bytes: int = PARTITION_BYTES,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """Raw CSV to curated Parquet; returns the curated table.
 
+    ``multiline`` overrides the spec's (one task per file where true). ``partition_bytes`` of raw
+    input make a shuffle partition and ``split_bytes`` a scan split (None: the session's setting).
+
     Without reports, and unless exact fences are asked for, this is one lazy plan: one scan, one
     wide shuffle, one write.
 
@@ -275,12 +281,17 @@ def run_table(
     domain violations), ``schema`` and ``sample``.
     """
     nulling = spec.outlier_policy == "null"
-    with sized_for(spark, raw):
+    with sized_for(spark, raw, partition_bytes, split_bytes):
         source = read_raw(
-            spark, raw, types=spec.types, multiline=spec.multiline, on_bad_value=on_bad_value
+            spark,
+            raw,
+            types=spec.types,
+            multiline=spec.multiline if multiline is None else multiline,
+            on_bad_value=on_bad_value,
+            infer_rest=spec.infer_rest,
         )
         schema = clean_rows(source, spec).schema
-        if not reports and not (nulling and rel_err < op.FINEST_SKETCH):
+        if not reports and not (nulling and op.exact(rel_err)):
             write_curated(clean_table(source, spec, rel_err), curated)
         else:
             with staged(clean_with_copies(source, spec), spec.name) as counted:

@@ -7,10 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-PARTITION_BYTES = 256 << 20  # raw input per shuffle partition
-MOST_PARTITIONS = 40_000  # beyond this, map x reduce blocks cost more than larger partitions do
-LARGE_INPUT = 10 << 40  # from here on scans use larger splits, so map tasks stay countable
-LARGE_SPLIT = 512 << 20
+PARTITION_BYTES = 256 << 20  # raw input per shuffle partition; give less for compressed input
 
 
 def input_bytes(spark: SparkSession, path: str | list[str]) -> int:
@@ -24,27 +21,36 @@ def input_bytes(spark: SparkSession, path: str | list[str]) -> int:
     return total
 
 
-def size_settings(size: int, partitions: int) -> dict[str, str]:
+def size_settings(
+    size: int, partitions: int, partition_bytes: int = PARTITION_BYTES, split_bytes: int | None = None
+) -> dict[str, str]:
     """Session settings for ``size`` bytes of raw input; never fewer than ``partitions``.
 
     Adaptive execution merges small shuffle partitions at run time but cannot split those of an
     aggregate, so the count must start high enough for the input.
     """
-    wanted = min(MOST_PARTITIONS, -(-size // PARTITION_BYTES))
     settings = {
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.shuffle.partitions": str(max(partitions, wanted)),
+        "spark.sql.shuffle.partitions": str(max(partitions, -(-size // partition_bytes))),
     }
-    if size >= LARGE_INPUT:
-        settings["spark.sql.files.maxPartitionBytes"] = str(LARGE_SPLIT)
+    if split_bytes:
+        settings["spark.sql.files.maxPartitionBytes"] = str(split_bytes)
     return settings
 
 
 @contextmanager
-def sized_for(spark: SparkSession, path: str | list[str]) -> Iterator[None]:
-    """Apply :func:`size_settings` for the files under ``path``, and put the old ones back."""
+def sized_for(
+    spark: SparkSession,
+    path: str | list[str],
+    partition_bytes: int = PARTITION_BYTES,
+    split_bytes: int | None = None,
+) -> Iterator[None]:
+    """Apply :func:`size_settings` for the files under ``path``, and put the old ones back.
+
+    Use it around :func:`clean_table` and :func:`profile_table` too, with the action inside.
+    """
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    settings = size_settings(input_bytes(spark, path), partitions)
+    settings = size_settings(input_bytes(spark, path), partitions, partition_bytes, split_bytes)
     old = {key: spark.conf.get(key) for key in settings}
     try:
         for key, value in settings.items():

@@ -11,12 +11,14 @@ class TableSpec:
     """Cleaning and reporting rules of one table; step order is part of the result.
 
     ``dedup_stage`` says on which form duplicates are removed: ``"raw"`` before any cleaning,
-    ``"trimmed"`` after trimming only, ``"clean"`` after all text cleaning.
+    ``"trimmed"`` after trimming only, ``"clean"`` after all text cleaning. ``types`` holds the
+    columns of known type, as a rule ids and text; with ``infer_rest`` the data tell the others.
     """
 
     name: str
     # reading
     types: Mapping[str, str] = field(default_factory=dict)
+    infer_rest: bool = True
     multiline: bool = False
     # cleaning
     positional_names: tuple[str, ...] = ()

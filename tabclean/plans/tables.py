@@ -8,6 +8,7 @@ from .spec import TableSpec
 
 NOTES = TableSpec(
     name="clinical_notes",
+    infer_rest=False,  # its columns are known by position only, and are text
     multiline=True,
     positional_names=("encounter_id", "note_type", "note_text"),
     trim_cols=("note_type", "note_text", "encounter_id"),
@@ -44,16 +45,8 @@ _ENCOUNTER_NUMBERS = (
 
 ENCOUNTERS = TableSpec(
     name="encounters",
-    types={
-        "encounter_severity": "int",
-        "length_of_stay_days": "int",
-        "total_cost_usd": "double",
-        "adverse_outcome_flag": "int",
-        "readmitted_30_days_flag": "int",
-        "polypharmacy_flag": "int",
-        "opioid_prescribed_flag": "int",
-    },
     dedup_stage="raw",
+    types=dict.fromkeys(_ENCOUNTER_TEXT, "string"),
     text_cols=_ENCOUNTER_TEXT,
     missing_stage="after_dedup",
     missing_ratio=False,
@@ -66,7 +59,7 @@ ENCOUNTERS = TableSpec(
 
 FACILITIES = TableSpec(
     name="facilities",
-    types={"bed_count": "int", "teaching_hospital": "int", "avg_patients_per_nurse": "double"},
+    types=dict.fromkeys(("facility_id", "facility_name", "region"), "string"),
     text_cols=("facility_id", "facility_name", "region"),
     distinct_cols=("facility_id", "facility_name", "region"),
     sample_cols=("bed_count", "teaching_hospital", "avg_patients_per_nurse"),
@@ -79,6 +72,7 @@ FACILITIES = TableSpec(
 
 MEDICATIONS = TableSpec(
     name="medications",
+    types=dict.fromkeys(("encounter_id", "medication_class"), "string"),
     text_cols=("encounter_id", "medication_class"),
     distinct_cols=("encounter_id", "medication_class"),
 )
@@ -94,7 +88,7 @@ _PATIENT_TEXT = (
 
 PATIENTS = TableSpec(
     name="patients",
-    types={"age": "int", "chronic_condition_count": "int"},
+    types=dict.fromkeys(_PATIENT_TEXT, "string"),
     text_cols=_PATIENT_TEXT,
     distinct_cols=_PATIENT_TEXT,
     sample_cols=("age", "chronic_condition_count"),
@@ -113,13 +107,7 @@ _LAB_NUMBERS = (
 
 VITAL_LABS = TableSpec(
     name="vital_labs",
-    types={
-        "avg_heart_rate_bpm": "double",
-        "avg_systolic_bp": "double",
-        "glucose_mg_dl": "double",
-        "bmi": "double",
-        "abnormal_lab_count": "int",
-    },
+    types={"encounter_id": "string"},
     text_cols=("encounter_id",),
     distinct_cols=("encounter_id",),
     sample_cols=_LAB_NUMBERS,

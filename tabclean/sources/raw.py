@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import column
@@ -18,40 +19,71 @@ def read_raw(
     types: Mapping[str, str] | None = None,
     multiline: bool = False,
     on_bad_value: str = "error",
+    infer_rest: bool = False,
 ) -> DataFrame:
-    """Read CSV files with a header row.
+    """Read CSV files with a header row. A doubled quote inside a quoted field is one quote.
 
     * ``schema``: used as given, by position.
-    * ``types``: Spark type per *normalised* column name; all other columns are strings. The header
-      line is looked up once (one small task), so column order in the file does not matter, and
-      every file's own header is checked against it.
+    * ``types``: Spark type per *normalised* column name; all other columns are strings, or with
+      ``infer_rest`` of the type that fits all their values, which costs a pass. The header line is
+      looked up once (one small task), so column order in the file does not matter, and every file's
+      own header is checked against it.
     * neither: types are inferred, which costs a full extra pass and turns ``007`` into ``7``.
 
-    A value that does not fit its declared type stops the job, or becomes null with
-    ``on_bad_value="null"``. Short lines are filled with nulls. Empty fields are null.
+    With ``types``, a value that does not fit its type and a line with more fields than the header
+    stop the job, whatever the session's ANSI mode; with ``on_bad_value="null"`` the value becomes
+    null and surplus fields are left out. Short lines are filled with nulls. Empty fields are null.
 
     ``multiline=True`` accepts quoted line breaks. Spark cannot split such a file, so at scale the
     table must come as many files of moderate size.
     """
     if on_bad_value not in ("error", "null"):
         raise ValueError(f"on_bad_value must be 'error' or 'null', not {on_bad_value!r}")
-    reader = spark.read.option("header", True)
-    if multiline:
-        reader = reader.option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
     if schema is not None:
         return reader.schema(schema).csv(path)
     if types is None:
         return reader.option("inferSchema", True).csv(path)
     header = reader.csv(path).columns
-    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    df = reader.option("enforceSchema", False).schema(text).csv(path)
+    wanted = {name: types.get(normalized_name(name)) for name in header}
+    if infer_rest and None in wanted.values():
+        found = reader.option("inferSchema", True).csv(path).schema
+        for name, field in zip(header, found.fields, strict=True):
+            if wanted[name] is None and not isinstance(field.dataType, T.NullType):
+                wanted[name] = field.dataType.simpleString()
+
+    odd = _unused("_odd_line", header)
+    text = T.StructType([T.StructField(name, T.StringType()) for name in [*header, odd]])
+    reader = reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", odd)
+    df = reader.schema(text).csv(path)
+    if on_bad_value == "error":
+        df = df.where(_no_surplus(column(odd), len(header)))
 
     def typed(name: str) -> Column:
-        value = column(name)
-        dtype = types.get(normalized_name(name))
-        if dtype is None:
+        value, dtype = column(name), wanted[name]
+        if dtype in (None, "string"):
             return value
-        cast = value.cast if on_bad_value == "error" else value.try_cast
-        return cast(dtype).alias(name)
+        cast = value.try_cast(dtype)
+        if on_bad_value == "error":
+            message = F.concat(F.lit(f"column {name}: not of type {dtype}: "), value)
+            cast = F.when(value.isNotNull() & cast.isNull(), F.raise_error(message)).otherwise(cast)
+        return cast.alias(name)
 
     return df.select(*[typed(name) for name in header])
+
+
+def _unused(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def _no_surplus(line: Column, fields: int) -> Column:
+    """True, or an error for a line with more fields than the header. Spark keeps the text of lines
+    whose number of fields is not the header's; too few are filled and pass."""
+    names = ", ".join(f"f{i} string" for i in range(fields + 1))
+    last = F.from_csv(line, names, {"escape": '"', "mode": "PERMISSIVE"}).getField(f"f{fields}")
+    message = F.concat(F.lit(f"more than {fields} fields: "), line)
+    return F.when(line.isNotNull() & last.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(
+        F.lit(True)
+    )

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 
 import tabclean as tc
@@ -293,16 +295,17 @@ def test_bad_values_in_a_run(spark, tmp_path):
         "facility_id,facility_name,region,bed_count,teaching_hospital,avg_patients_per_nurse\n"
         "f1,n,r,many,1,3.5\n"
     )
+    spec = replace(FACILITIES, types={**FACILITIES.types, "bed_count": "int"})
     with pytest.raises(Exception, match="many"):
-        tc.run_table(spark, FACILITIES, str(raw), str(tmp_path / "a"))
-    out = tc.run_table(spark, FACILITIES, str(raw), str(tmp_path / "b"), on_bad_value="null")
+        tc.run_table(spark, spec, str(raw), str(tmp_path / "a"))
+    out = tc.run_table(spark, spec, str(raw), str(tmp_path / "b"), on_bad_value="null")
     assert out.first().bed_count is None
 
 
 def test_run_agrees_with_clean_table(spark, tmp_path, rows, encounters):
     raw = str(tmp_path / "raw")
     tc.normalize_names(encounters).write.option("header", True).csv(raw)
-    source = tc.read_raw(spark, raw, types=ENCOUNTERS.types)
+    source = tc.read_raw(spark, raw, types=ENCOUNTERS.types, infer_rest=True)
     expected = rows(tc.clean_table(source, ENCOUNTERS, rel_err=0))
     assert rows(tc.run_table(spark, ENCOUNTERS, raw, str(tmp_path / "out"), rel_err=0)) == expected
     assert rows(tc.run_table(spark, ENCOUNTERS, raw, str(tmp_path / "out"))) == expected
@@ -319,10 +322,13 @@ def test_profile_shares_one_scan_and_one_row_shuffle(spark, plan):
 
 def test_sizes_follow_the_input(spark, tmp_path):
     assert size_settings(0, 8)["spark.sql.shuffle.partitions"] == "8"
-    assert size_settings(1 << 40, 200)["spark.sql.shuffle.partitions"] == "4096"
-    big = size_settings(100 << 40, 200)
-    assert big["spark.sql.shuffle.partitions"] == "40000"
-    assert big["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
+    for terabytes in (1, 10, 100):  # one formula, in proportion
+        settings = size_settings(terabytes << 40, 200)
+        assert settings["spark.sql.shuffle.partitions"] == str(4096 * terabytes)
+        assert "spark.sql.files.maxPartitionBytes" not in settings
+    given = size_settings(1 << 40, 200, partition_bytes=1 << 30, split_bytes=1 << 29)
+    assert given["spark.sql.shuffle.partitions"] == "1024"
+    assert given["spark.sql.files.maxPartitionBytes"] == str(1 << 29)
     (tmp_path / "x.csv").write_text("a\n" * 1000)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with sized_for(spark, [str(tmp_path / "*.csv"), str(tmp_path)]):
@@ -338,7 +344,7 @@ def test_specs_check_their_options():
 def test_clean_table_is_one_scan_and_one_wide_shuffle(spark, tmp_path, plan, encounters):
     raw = str(tmp_path / "raw")
     tc.normalize_names(encounters).write.option("header", True).csv(raw)
-    df = tc.clean_table(tc.read_raw(spark, raw, types=ENCOUNTERS.types), ENCOUNTERS)
+    df = tc.clean_table(tc.read_raw(spark, raw, types=ENCOUNTERS.types, infer_rest=True), ENCOUNTERS)
     df.collect()
     text = df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")

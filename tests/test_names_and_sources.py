@@ -143,3 +143,29 @@ def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
         scratch_root(Session(master="yarn"))
     monkeypatch.setattr(scratch, "_local_root", {"app": "/tmp/known"})
     assert scratch_root(Session(master="local[4]", app_id="app")) == "/tmp/known"
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_surplus_fields_and_bad_values_stop_the_job_in_any_mode(spark, csv, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        surplus = csv("a,b\ne1,x\ne2\ne1,,EXTRA\n", "surplus.csv")
+        with pytest.raises(Exception, match="more than 2 fields"):
+            tc.read_raw(spark, surplus, types={}).collect()
+        with pytest.raises(Exception, match="more than 2 fields"):
+            tc.read_raw(spark, surplus, types={}).select("a").collect()
+        lenient = tc.read_raw(spark, surplus, types={}, on_bad_value="null")
+        assert [tuple(r) for r in lenient.collect()] == [("e1", "x"), ("e2", None), ("e1", None)]
+        bad = csv("n\n1\n2.5\n", "bad.csv")
+        with pytest.raises(Exception, match="2.5"):
+            tc.read_raw(spark, bad, types={"n": "int"}).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_quotes_and_inferred_columns(spark, csv, multiline):
+    path = csv('id,name,beds,flag\n007,"St. ""Mary"", North",3.0,True\n8,x,2,False\n')
+    df = tc.read_raw(spark, path, types={"id": "string"}, multiline=multiline, infer_rest=True)
+    assert [tuple(r) for r in df.collect()] == [("007", 'St. "Mary", North', 3.0, True), ("8", "x", 2.0, False)]
