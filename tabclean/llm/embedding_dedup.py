@@ -1,13 +1,19 @@
-"""Near-duplicate vectors through a pivot-permutation index.
-
-Reference points (pivots) are a bounded sample of the vectors. Each vector is described by its
-``nearest`` pivots in order, and enters the inverted list of each of them. Two vectors in a list are
-candidates if their descriptions share at least ``shared`` pivots; the cosine is then computed in
-double precision. A pair is judged in the list of its lowest shared pivot only, so it counts once.
-
-Equal vectors are one entry with a weight. A list is cut into blocks by a hash of the entries, and
-each pair of blocks is a task of its own, so no list is too long for a task however hot its pivot. A
-task returns per entry a number of links and a root, never the pairs.
+"""Near-duplicate vectors through a pivot index that loses no link.
+
+Reference points (pivots) are spread over a bounded sample, each the farthest from those before it, so
+a dense group has few of them. The vectors of a label use the first pivots, one for each ``BLOCK`` of
+them, and form a cell around the nearest. A cell is cut into blocks by a hash of the entries, however
+hot its pivot, and each pair of blocks of a label is a task of its own.
+
+A vector enters a pair only if it can link with something in the other block's cell. Two bounds tell,
+and both hold for every vector: its angle to the other pivot differs from the angles in that cell by
+at most the angle of the threshold, and it is no farther from the plane between the two pivots than
+linked vectors are from each other. All pairs inside a task are then judged by their cosine in double
+precision. Where vectors are not clustered the bounds exclude little, and the work grows with the
+square of a label.
+
+Equal vectors are one entry with a weight. A task returns per entry a number of links and a root, never
+the pairs.
 """
 
 from __future__ import annotations
@@ -24,17 +30,19 @@ from ..sources.scratch import materialize
 from .components import connected_components
 
 PIVOTS = 512
-NEAREST = 8
-SHARED = 2
-BLOCK = 1024
+SAMPLE = 4  # vectors looked at for each pivot
+BLOCK = 4096
 STRIPE = 256
+SLACK = 1e-6  # more than the rounding of angles
 
 
-def describe(vectors: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
-    """For each unit vector the numbers of its nearest pivots, nearest first; ties by number."""
-    likeness = vectors @ pivots.T
-    nearest = min(nearest, pivots.shape[0])
-    return np.argsort(-likeness, axis=1, kind="stable")[:, :nearest].astype(np.int32)
+def spread_pivots(sample: np.ndarray, count: int) -> np.ndarray:
+    """At most ``count`` of the unit vectors, each the farthest from those before it."""
+    chosen, nearest = [0], sample @ sample[0]
+    while len(chosen) < min(count, len(sample)):
+        chosen.append(int(nearest.argmin()))
+        nearest = np.maximum(nearest, sample @ sample[chosen[-1]])
+    return sample[chosen]
 
 
 def units(raw: np.ndarray) -> np.ndarray:
@@ -44,35 +52,87 @@ def units(raw: np.ndarray) -> np.ndarray:
     return wide / np.sqrt((wide * wide).sum(axis=1, keepdims=True))
 
 
-def _pivots_of(sample: dict[int, np.ndarray], size: int, count: int) -> np.ndarray:
-    """Pivots for vectors of ``size`` components; random ones where the sample has none."""
-    if size in sample:
-        return sample[size]
-    return units(np.random.default_rng(size).standard_normal((count, size)))
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of each (label, size), the first two columns."""
+    label, size = (batch.column(i).to_numpy() for i in (0, 1))
+    order = np.lexsort((size, label))
+    new = (np.diff(label[order]) != 0) | (np.diff(size[order]) != 0)
+    for mine in np.split(order, np.flatnonzero(new) + 1):
+        if len(mine):
+            yield batch.take(pa.array(mine))
+
+
+def _find_homes(sample: dict[int, np.ndarray]):
+    """Tasks that add to (label, size, node, weight, raw, cells) the nearest pivot and its angle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch):
+                size, cells = part.column(1)[0].as_py(), part.column(5)[0].as_py()
+                home, angle = np.zeros(len(part), np.int32), np.zeros(len(part))
+                if cells > 1 and size in sample:
+                    likeness = units(_matrix(part.column(4), size)) @ sample[size][:cells].T
+                    home = likeness.argmax(axis=1).astype(np.int32)
+                    angle = np.arccos(np.clip(likeness.max(axis=1), -1, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(i) for i in range(5)), pa.array(home), pa.array(angle)],
+                    names=["label", "size", "node", "weight", "raw", "home", "angle"],
+                )
+
+    return run
+
+
+def reachable(likeness: np.ndarray, home: np.ndarray, pivots: np.ndarray, low, high, threshold: float):
+    """Which cells can hold links of unit vectors with these cosines to the pivots: rows by cells.
 
+    ``low`` and ``high`` are the least and greatest angle of each cell's vectors to its pivot.
+    """
+    limit = min(1.0, max(-1.0, threshold))
+    angle, most = np.arccos(np.clip(likeness, -1, 1)), np.arccos(limit) + SLACK
+    near = (angle >= low - most) & (angle <= high + most)
+    own = likeness[np.arange(len(home)), home]
+    apart = np.sqrt(np.maximum(0, 2 - 2 * np.clip(pivots @ pivots.T, -1, 1)))[home]
+    near &= own[:, None] - likeness <= (np.sqrt(2 - 2 * limit) + SLACK) * apart + SLACK
+    near[np.arange(len(home)), home] = True
+    return near
+
+
+def _deal(sample: dict[int, np.ndarray], threshold: float):
+    """Tasks that turn (label, size, node, weight, raw, home, found) into a row per pair of blocks.
 
-def _describe_rows(sample: dict[int, np.ndarray], count: int, nearest: int):
-    """Tasks that turn (node, label, size, raw, weight) into a row per inverted list."""
+    ``found`` tells of the cells of the label: pivot, blocks, least and greatest angle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = batch.column(2).to_numpy()
-            for size in np.unique(sizes).tolist():
-                for at in range(0, len(sizes), 4096):
-                    mine = np.flatnonzero(sizes[at : at + 4096] == size) + at
-                    if not len(mine):
-                        continue
-                    part = batch.take(pa.array(mine))
-                    raw = _matrix(part.column(3), size)
-                    near = describe(units(raw), _pivots_of(sample, size, count), nearest)
-                    each = near.shape[1]
-                    spread = part.take(pa.array(np.repeat(np.arange(len(mine)), each)))
-                    lists = pa.array(np.repeat(near, each, axis=0).tolist(), pa.list_(pa.int32()))
-                    yield pa.RecordBatch.from_arrays(
-                        [spread.column(1), spread.column(2), pa.array(near.ravel()), spread.column(0),
-                         spread.column(4), lists, spread.column(3)],
-                        names=["label", "size", "pivot", "node", "weight", "near", "raw"],
-                    )
+            for part in _parts(batch):
+                cells = sorted(part.column(6)[0].as_py(), key=lambda c: c["home"])
+                pivot, blocks = (np.array([c[k] for c in cells], np.int64) for k in ("home", "blocks"))
+                ends = np.cumsum(blocks)
+                cell_of = np.repeat(np.arange(len(cells)), blocks)
+                step = max(1, (1 << 16) // int(ends[-1]))
+                for at in range(0, len(part), step):
+                    yield from rows(part.slice(at, step), cells, pivot, blocks, ends - blocks, cell_of)
+
+    def rows(part, cells, pivot, blocks, begins, cell_of) -> Iterator[pa.RecordBatch]:
+        size = part.column(1)[0].as_py()
+        home = np.searchsorted(pivot, part.column(5).to_numpy())
+        mixed = part.column(2).to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        block = begins[home] + ((mixed >> np.uint64(32)) % blocks[home].astype(np.uint64)).astype(np.int64)
+        near = np.ones((len(part), len(cells)), bool)
+        if len(cells) > 1:
+            some = sample[size][pivot]
+            low, high = (np.array([c[k] for c in cells]) for k in ("low", "high"))
+            near = reachable(units(_matrix(part.column(4), size)) @ some.T, home, some, low, high, threshold)
+        of, other = np.nonzero(near[:, cell_of])
+        for begin in range(0, len(of), 1 << 14):
+            mine, to = of[begin : begin + (1 << 14)], other[begin : begin + (1 << 14)]
+            spread, here = part.take(pa.array(mine)), block[mine]
+            pair = [np.minimum(here, to), np.maximum(here, to), here]
+            yield pa.RecordBatch.from_arrays(
+                [spread.column(0), spread.column(1), *map(pa.array, pair), *(spread.column(i) for i in (2, 3, 4))],
+                names=["label", "size", "lower", "upper", "block", "node", "weight", "raw"],
+            )
 
     return run
 
@@ -83,8 +143,8 @@ def _matrix(column_: pa.Array, size: int) -> np.ndarray:
     return np.frombuffer(values, "<f8").reshape(-1, size)
 
 
-def _judge(threshold: float, shared: int):
-    """Tasks over index rows sorted by list and pair of blocks: (node, links, root)."""
+def _judge(threshold: float):
+    """Tasks over rows sorted by label, size and pair of blocks: (node, links, root)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -94,7 +154,7 @@ def _judge(threshold: float, shared: int):
             if not joined:
                 continue
             held = joined[0]
-            keys = [held.column(i).to_numpy() for i in range(5)]
+            keys = [held.column(i).to_numpy() for i in range(4)]
             new = np.ones(len(held), bool)
             new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
             starts = np.flatnonzero(new)
@@ -107,32 +167,31 @@ def _judge(threshold: float, shared: int):
     def group(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         if len(rows) < 2:
             return
-        size, pivot, low, high = (rows.column(i)[0].as_py() for i in (1, 2, 3, 4))
-        block, node, weight = (rows.column(i).to_numpy() for i in (5, 6, 7))
-        near = np.array(rows.column(8).to_pylist(), np.int32)
-        vectors = units(_matrix(rows.column(9), size))
+        size, low, high = (rows.column(i)[0].as_py() for i in (1, 2, 3))
+        block, node, weight = (rows.column(i).to_numpy() for i in (4, 5, 6))
         left = np.flatnonzero(block == low)
         right = left if low == high else np.flatnonzero(block == high)
         if not len(left) or not len(right):
             return
-        width = int(near.max()) + 1
-        hot = np.zeros((len(rows), width), np.float32)
-        hot[np.arange(len(rows))[:, None], near] = 1
+        vectors = units(_matrix(rows.column(7), size))
+        others = vectors[right]
         links = np.zeros(len(rows), np.int64)
         root = np.arange(len(rows))
         for at in range(0, len(left), STRIPE):
             some = left[at : at + STRIPE]
-            i, j = np.nonzero(hot[some] @ hot[right].T >= min(shared, near.shape[1]))
+            close = vectors[some] @ others.T
+            i, j = np.nonzero(close >= threshold - SLACK)
+            sure = close[i, j] >= threshold + SLACK
             i, j = some[i], right[j]
             if low == high:
-                i, j = i[i < j], j[i < j]
+                once = i < j
+                i, j, sure = i[once], j[once], sure[once]
             for begin in range(0, len(i), 1 << 16):
                 a, b = i[begin : begin + (1 << 16)], j[begin : begin + (1 << 16)]
-                close = np.einsum("ij,ij->i", vectors[a], vectors[b]) >= threshold
-                a, b = a[close], b[close]
-                both = hot[a] * hot[b]
-                mine = both.argmax(axis=1) == pivot  # the lowest shared pivot
-                a, b = a[mine], b[mine]
+                linked = sure[begin : begin + (1 << 16)].copy()
+                edge = np.flatnonzero(~linked)
+                linked[edge] = np.einsum("ij,ij->i", vectors[a[edge]], vectors[b[edge]]) >= threshold
+                a, b = a[linked], b[linked]
                 np.add.at(links, a, weight[b])
                 np.add.at(links, b, weight[a])
                 _join(root, a, b)
@@ -168,8 +227,6 @@ def near_duplicates(
     label_col: str | None = "label",
     threshold: float = 0.93,
     pivots: int = PIVOTS,
-    nearest: int = NEAREST,
-    shared: int = SHARED,
 ) -> DataFrame:
     """The id column, n_links, component_id and kept of every row.
 
@@ -177,12 +234,12 @@ def near_duplicates(
     components, and the cosine is at least ``threshold``; with ``label_col`` None labels play no part.
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing.
     n_links counts other rows linked directly; component_id is the least id that links reach;
-    kept tells whether that is the row's own. Equal vectors of equal label always link. Among others
-    the index finds nearly all links (see README for the recall) and none below the threshold.
+    kept tells whether that is the row's own. Every link is found, however dense its surroundings, and
+    none below the threshold (see README for the measured recall and cost).
 
     Null ids link but are never a component's id; a component of null ids has a null one and its rows
     are kept. Rows with repeated ids stay rows of their own. An empty table gives an empty result.
-    ``pivots`` should grow with the table: lists hold ``nearest / pivots`` of a label's vectors.
+    ``pivots`` bounds the cells of a label. It changes the work, never the result.
     """
     label = F.lit(0) if label_col is None else column(label_col)
     vector = column(vector_col).cast("array<double>")
@@ -205,25 +262,41 @@ def near_duplicates(
         {"node": F.monotonically_increasing_id(), "size": F.size("vector"), "list_label": F.xxhash64("label")}
     )
     entries = materialize(entries, "pivot-entries")
-    raw = _as_binary(entries)
+    place = ["label", "size"]
+    raw = materialize(_as_binary(entries), "pivot-raw")
     sample = _sample(entries, pivots)
-    lists = raw.mapInArrow(
-        _describe_rows(sample, pivots, nearest),
-        "label long, size int, pivot int, node long, weight long, near array<int>, raw binary",
+    # A row for each label and number of components
+    counts = raw.groupBy(*place).agg(
+        F.greatest(F.lit(1), F.least(F.lit(pivots), F.floor(F.count(F.lit(1)) / BLOCK))).cast("int").alias("cells")
+    )
+    homes = raw.join(materialize(counts, "pivot-counts"), place).select(
+        *place, "node", "weight", "raw", "cells"
+    )
+    homes = materialize(
+        homes.mapInArrow(
+            _find_homes(sample),
+            "label long, size int, node long, weight long, raw binary, home int, angle double",
+        ),
+        "pivot-homes",
+    )
+    cells = homes.groupBy(*place, "home").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
+        F.min("angle").alias("low"),
+        F.max("angle").alias("high"),
+    )
+    cells = cells.groupBy(*place).agg(F.collect_list(F.struct("home", "blocks", "low", "high")).alias("found"))
+    spread = homes.join(materialize(cells, "pivot-cells"), place).select(
+        *place, "node", "weight", "raw", "home", "found"
     )
-    lists = materialize(lists, "pivot-lists")
-    place = ["label", "size", "pivot"]
-    sizes = lists.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    spread = lists.join(materialize(sizes, "pivot-sizes"), place)
-    spread = spread.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    spread = spread.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.withColumns({"lower": F.least("block", "with"), "upper": F.greatest("block", "with")})
     keys = [*place, "lower", "upper"]
     count = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    tasks = spread.select(*keys, "block", "node", "weight", "near", "raw")
+    tasks = spread.mapInArrow(
+        _deal(sample, threshold),
+        "label long, size int, lower long, upper long, block long, node long, weight long, raw binary",
+    )
     tasks = tasks.repartition(count, *keys).sortWithinPartitions(*keys)
     found = materialize(
-        tasks.mapInArrow(_judge(threshold, shared), "node long, links long, root long"), "pivot-links"
+        tasks.mapInArrow(_judge(threshold), "node long, links long, root long"), "pivot-links"
     )
     degree = found.groupBy("node").agg(F.sum("links").alias("links"))
     parts = connected_components(found.selectExpr("node as a", "root as b"), "pivot")
@@ -266,9 +339,13 @@ def _as_binary(entries: DataFrame) -> DataFrame:
 
 
 def _sample(entries: DataFrame, count: int) -> dict[int, np.ndarray]:
-    """At most ``count`` vectors, those with the least hash, by their number of components."""
-    chosen = entries.orderBy("h1", "h2", "label").select("size", "vector").limit(count).collect()
+    """At most ``count`` pivots by number of components, out of the ``SAMPLE`` times as many vectors with
+    the least hash."""
+    chosen = entries.orderBy("h1", "h2", "label").limit(SAMPLE * count)
     by_size: dict[int, list] = {}
-    for row in chosen:
-        by_size.setdefault(row["size"], []).append(row["vector"])
-    return {size: units(np.array(vectors)) for size, vectors in by_size.items()}
+    for row in _as_binary(chosen).select("size", "raw").collect():
+        by_size.setdefault(row["size"], []).append(bytes(row["raw"]))
+    return {
+        size: spread_pivots(units(np.frombuffer(b"".join(raw), "<f8").reshape(-1, size)), count)
+        for size, raw in by_size.items()
+    }

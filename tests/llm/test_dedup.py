@@ -190,6 +190,30 @@ def test_pivot_index(spark, rows, monkeypatch, block):
     assert sorted(rows(got), key=str) == sorted(want, key=str)
 
 
+def crowd(rows, dims, cosine):
+    """Vectors of one label, a third around one centre with this mean pair cosine."""
+    random = np.random.default_rng(11)
+    data = random.standard_normal((rows, dims))
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    third = rows // 3
+    data[:third] = data[third] + np.sqrt(1 / cosine - 1) * data[:third]
+    return data / np.linalg.norm(data, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("block", [200, None])
+def test_pivot_index_loses_no_link_in_a_dense_group(spark, monkeypatch, block):
+    """Production parameters; with blocks of 200 the cells are many and the bounds at work."""
+    if block:
+        monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    data = crowd(3000, 64, 0.94)
+    links = (data @ data.T >= 0.93).sum(axis=1) - 1
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(data)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(df).collect()}
+    assert links.sum() > 500_000
+    assert got == dict(enumerate(links.tolist()))
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert suffix_dedup.remove_repeats(docs, "doc_id", "text").count() == 0
