@@ -1,9 +1,9 @@
 """Homomorphic multiset hash of a text's paragraphs.
 
 Each paragraph becomes a wide vector of +1 and -1 from a 128-bit hash, and a text's fingerprint is
-the sum of its paragraphs' vectors, lane by lane modulo 2**16. Sums do not depend on order, adding a
+the sum of its paragraphs' vectors, lane by lane modulo 2**32. Sums do not depend on order, adding a
 paragraph adds its vector and deleting one subtracts it, so a fingerprint follows edits without the
-text. Two different texts with the same fingerprint would need all 128 lanes to cancel.
+text. No text has the 2**31 paragraphs that would wrap a lane. Two different texts with the same fingerprint would need all 128 lanes to cancel.
 
 The lanes also measure likeness: lane by lane products of two sums average to the number of shared
 paragraphs (counted by multiplicity), since distinct paragraphs have independent signs.
@@ -41,8 +41,8 @@ def pieces(text: str | bytes) -> Iterator[bytes]:
 
 
 def fingerprint(text: str | bytes) -> np.ndarray:
-    """The sum for one text: 128 lanes modulo 2**16. An empty text gives zeros."""
-    return insert(np.zeros(LANES, np.uint16), pieces(text))
+    """The sum for one text: 128 lanes modulo 2**32. An empty text gives zeros."""
+    return insert(np.zeros(LANES, np.uint32), pieces(text))
 
 
 def insert(sums: np.ndarray, parts: Iterable[bytes]) -> np.ndarray:
@@ -58,24 +58,24 @@ def insert(sums: np.ndarray, parts: Iterable[bytes]) -> np.ndarray:
 
 def delete(sums: np.ndarray, parts: Iterable[bytes]) -> np.ndarray:
     """The fingerprint after removing paragraphs that are in it."""
-    return sums - insert(np.zeros(LANES, np.uint16), parts)
+    return sums - insert(np.zeros(LANES, np.uint32), parts)
 
 
 def _sum(digests: list[bytes]) -> np.ndarray:
     bits = np.unpackbits(np.frombuffer(b"".join(digests), np.uint8).reshape(-1, LANES // 8), axis=1)
     ones = bits.sum(axis=0, dtype=np.uint32)
-    return (2 * ones - np.uint32(len(digests))).astype(np.uint16)  # unsigned: wraps on purpose
+    return 2 * ones - np.uint32(len(digests))  # unsigned: wraps on purpose
 
 
 def to_hex(sums: np.ndarray) -> str:
-    return sums.astype(">u2").tobytes().hex()
+    return sums.astype(">u4").tobytes().hex()
 
 
 def likeness(one: np.ndarray, other: np.ndarray) -> float:
     """Estimated cosine of two paragraph multisets, from 0 to 1; equal fingerprints give 1."""
     if np.array_equal(one, other):
         return 1.0
-    a, b = one.view(np.int16).astype(np.float64), other.view(np.int16).astype(np.float64)
+    a, b = one.view(np.int32).astype(np.float64), other.view(np.int32).astype(np.float64)
     norm = float(np.sqrt(a @ a) * np.sqrt(b @ b))
     return min(1.0, max(0.0, float(a @ b) / norm)) if norm else 0.0
 

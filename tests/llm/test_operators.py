@@ -69,6 +69,12 @@ def test_multiset_hash_follows_edits():
     assert multiset_hash.likeness(whole, whole) == 1.0
 
 
+def test_likeness_of_very_frequent_lines():
+    """A line that occurs more than 32,767 times does not wrap a lane."""
+    many, half = (multiset_hash.fingerprint(b"one line\n" * n) for n in (40_000, 20_000))
+    assert multiset_hash.likeness(many, half) == pytest.approx(1.0)
+
+
 @pytest.mark.parametrize("partitions", ["1", "7"])
 def test_next_document(spark, docs, corpus, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
