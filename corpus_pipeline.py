@@ -10,10 +10,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabclean.functions import column
+from tabclean.llm.common import fresh
 from tabclean.llm.packing import pack
 from tabclean.llm.quality import keep_good
 from tabclean.llm.simhash import keep_one
-from tabclean.llm.suffix_dedup import remove_repeats
+from tabclean.llm.suffix_dedup import RESULTS, remove_repeats
 from tabclean.sources.scratch import materialize
 
 ORACLE_SQL = None  # learned scores, fingerprints and token ids have no SQL form
@@ -32,7 +34,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut later copies of every string of 200 bytes; the first copy stays. n_chars follows the text."""
-    cut = remove_repeats(docs, "doc_id", "text", keep_first=True).select(*docs.columns)
+    clash = [c for c in docs.columns if c.lower() in RESULTS]
+    taken = docs.withColumns({name: F.lit(0) for name in RESULTS})
+    kept = dict(zip(clash, fresh(taken, *[f"input_{c}" for c in clash]), strict=True))
+    cut = remove_repeats(docs.withColumnsRenamed(kept), "doc_id", "text", keep_first=True)
+    cut = cut.drop(*RESULTS).select(*[column(kept.get(c, c)).alias(c) for c in docs.columns])
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.length("text").cast(kind))

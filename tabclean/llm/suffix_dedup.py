@@ -92,6 +92,9 @@ def repeated_windows(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.n
     return counts, repeated, later
 
 
+RESULTS = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
 def _removed(match: int, with_text: bool):
     """Tasks that cut the spans out of the texts."""
 
@@ -120,12 +123,11 @@ def _removed(match: int, with_text: bool):
                 pa.array(runs, pa.int64()),
                 pa.array(digests, pa.string()),
             ]
-            added = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
             stay = [n for n in names if n not in ("k1", "k2", "spans", "text")]
             bodies = [pa.array(kept, pa.string())] if with_text else []
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(names.index(n)) for n in stay), *bodies, *columns],
-                names=[*stay, *(["text"] if with_text else []), *added],
+                names=[*stay, *(["text"] if with_text else []), *RESULTS],
             )
 
     return run
@@ -150,8 +152,7 @@ def remove_repeats(
     ``keep_first`` they count as one text, else as copies of each other. Columns that bear the names
     of results are replaced; an empty table gives an empty result.
     """
-    results = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    df = df.drop(*[c for c in results if c not in (id_col, text_col)])
+    df = df.drop(*[c for c in RESULTS if c not in (id_col, text_col)])
     unit = Bytes(match)
     shape, spans = repeated_spans(
         df, id_col, text_col, unit, lambda pieces: repeated_windows(pieces, match), keep_first, "suffix"
@@ -167,4 +168,4 @@ def remove_repeats(
     )
     cut = joined.mapInArrow(_removed(match, with_text), schema)
     back = restored(cut, df, id_col, text_col) if with_text else restored(cut, df.drop(text_col), id_col, text_col)
-    return cut.select(*back, *results)
+    return cut.select(*back, *RESULTS)

@@ -224,6 +224,17 @@ def test_sharding_has_no_python(spark, plan):
     assert "Python" not in text and "Arrow" not in text
 
 
+def test_repeated_passages_keeps_columns_named_like_results(spark, passage):
+    import corpus_pipeline
+
+    rows = [(i, f"{passage(3, 80)} {passage(100 + i, 30)}", -i, f"mine {i}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_bytes long, Kept_sha256 string")
+    got = corpus_pipeline.repeated_passages(spark, docs, "")
+    assert got.columns == docs.columns
+    found = sorted((r["doc_id"], r["n_bytes"], r["Kept_sha256"]) for r in got.collect())
+    assert found == [(i, -i, f"mine {i}") for i in range(3)]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
