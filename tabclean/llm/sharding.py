@@ -1,7 +1,8 @@
 """Proportional stratified interleaving of rows into shards, in DataFrame functions alone.
 
 Every source is shuffled by a seeded hash and its rows are ranked; row r of n stands at the fraction
-(r - 1/2) / n. Sorting all rows by that fraction mixes the sources evenly, so cutting the order into
+(r - 1 + u) / n with u from 0 to 1 by the row's hash, so that many small sources of one size do not
+stand at one fraction. Sorting all rows by that fraction mixes the sources evenly, so cutting the order into
 equal runs gives shards that all hold the mixture of the whole table.
 
 No window ever holds a whole source or the whole table. A rank is the number of rows in earlier
@@ -20,6 +21,13 @@ from .common import fresh
 GRID = 4096
 
 
+def fraction(rank: Column, total: Column, mix: Column) -> Column:
+    """Where row ``rank`` of ``total`` stands, from 0 to 1. The low bits of ``mix`` spread it; its high
+    bits made the rank."""
+    u = (mix.bitwiseAND(F.lit((1 << 32) - 1)) + F.lit(0.5)) / F.lit(float(1 << 32))
+    return (rank - 1 + u) / total
+
+
 def interleave(
     df: DataFrame,
     by: str,
@@ -49,7 +57,7 @@ def interleave(
     keyed = keyed.withColumn(cell, F.shiftrightunsigned(mix, 64 - GRID.bit_length() + 1).cast("int"))
 
     in_source = _ranked(keyed, [source], cell, [F.col(mix), *order], rank, total)
-    placed = in_source.withColumn(frac, (F.col(rank) - F.lit(0.5)) / F.col(total)).withColumn(
+    placed = in_source.withColumn(frac, fraction(F.col(rank), F.col(total), F.col(mix))).withColumn(
         cell, F.least(F.floor(F.col(frac) * GRID), F.lit(GRID - 1)).cast("int")
     )
     placed = placed.drop(rank, total)

@@ -12,7 +12,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from tabclean.llm import bpe, multiset_hash, packing, quality, queries
+from pyspark.sql import functions as F
+from tabclean.llm import bpe, multiset_hash, packing, quality, queries, sharding
 from tabclean.llm.memo import Memo
 from tabclean.llm.sharding import interleave
 from tabclean.llm.url_filter import Index, Rule, build_index, url_filter
@@ -219,6 +220,17 @@ def test_interleave(docs, corpus, shards):
     assert interleave(docs.limit(0), "source", ["doc_id"], 3).count() == 0
 
 
+def test_small_sources_spread_over_the_grid(spark):
+    """Rows of sources of one size do not all fall into one cell, which one task would rank."""
+    ranks = spark.range(20_000).select(F.xxhash64("id").alias("mix"), F.lit(1).alias("r"), F.lit(1).alias("n"))
+    cells = ranks.select(F.floor(sharding.fraction(F.col("r"), F.col("n"), F.col("mix")) * sharding.GRID).alias("c"))
+    counts = [r["count"] for r in cells.groupBy("c").count().collect()]
+    assert len(counts) > 3500 and max(counts) < 30
+    lone = spark.range(500).select("id", F.col("id").cast("string").alias("source"))
+    got = interleave(lone, "source", ["id"], 4).groupBy("shard").count().collect()
+    assert sorted(map(tuple, got)) == [(i, 125) for i in range(4)]
+
+
 def test_sharding_has_no_python(spark, plan):
     text = plan(queries.op10_interleaved_shards(spark, "/root/testdata/sf0.001"))
     assert "Python" not in text and "Arrow" not in text
