@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import column
 from .bpe import token_digests
 from .embedding_dedup import near_duplicates as near_vectors
+from .merkle import merkle_manifest
 from .multiset_hash import compare_with_next
+from .oracles import OP11_SQL, OP12_SQL, OP13_SQL
 from .packing import pack
 from .quality import score_documents
 from .sharding import interleave
@@ -19,6 +21,8 @@ from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
 from .superkmer_dedup import remove_repeated_words
 from .url_filter import Rule, url_filter
+from .vector_codes import compress_vectors
+from .winnowing import decontaminate, folded
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +104,32 @@ def op10_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate(docs, items, "doc_id", "text", "item_id", "text", window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(column("doc_id").cast("string")) % 3 == 0
+    found = F.when(tampered, folded(column("text"))).otherwise(column("text"))
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    proved = merkle_manifest(table(spark, sf_dir, "documents"), "doc_id", "lang", fields, {"text": found})
+    return proved.drop("proof")
+
+
+def op13_limb_split_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return compress_vectors(vectors, "vec_id", "embedding", "label", parts=8, entries=16, rounds=6)
+
+
 def all_queries() -> dict[str, Query]:
     found = [
         op1_suffix_array_dedup,
@@ -112,6 +142,9 @@ def all_queries() -> dict[str, Query]:
         op8_packing,
         op9_superkmer_dedup,
         op10_interleaved_shards,
+        op11_winnowing,
+        op12_merkle_manifest,
+        op13_limb_split_codes,
     ]
     return {f.__name__: f for f in found}
 
@@ -142,4 +175,9 @@ FROM ruled
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op4_url_filter": OP4_SQL}
+    return {
+        "op4_url_filter": OP4_SQL,
+        "op11_winnowing": OP11_SQL,
+        "op12_merkle_manifest": OP12_SQL,
+        "op13_limb_split_codes": OP13_SQL,
+    }
