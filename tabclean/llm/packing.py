@@ -18,7 +18,7 @@ import re
 import zlib
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,11 +29,39 @@ from pyspark.sql import DataFrame
 from ..functions import column
 from .bpe import byte_characters
 from .common import span_groups, text_of, texts
-from .memo import Memo
 
 RUN_TOKENS = 1 << 21  # tokens of the documents that one run packs together
 PART_BYTES = 1 << 20
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]?)")
+
+# How the tokenizer splits lower-cased text, for text in ISO 8859-1
+_LETTER, _NUMBER, _BLANK = rb"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", rb"0-9\xb2\xb3\xb9\xbc-\xbe", rb"\t-\r \x85\xa0"
+SPLIT = re.compile(
+    rb"'s|'t|'re|'ve|'m|'ll|'d|[" + _LETTER + rb"]+|[" + _NUMBER + rb"]|[^" + _BLANK + _LETTER + _NUMBER + rb"]+"
+)
+ADDED = b"<|"  # what added tokens start with; the tokenizer looks for them before all else
+
+
+class Recent(dict):
+    """Values of ``make`` by string. What was asked for lately stays; the rest goes, so that the
+    strings and values held, old and new, take about ``most`` bytes. Long strings are never held."""
+
+    def __init__(self, make: Callable[[bytes], bytes], most: int = 128 << 20):
+        super().__init__()
+        self.make, self.most, self.size, self.old = make, most, 0, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        held = len(key) + len(value) + 200  # the objects and the table's slot
+        if held > self.most >> 10:
+            return value
+        if self.size + held > self.most >> 1:
+            self.old, self.size = dict(self), 0
+            self.clear()
+        self.size += held
+        self[key] = value
+        return value
 
 
 class WordCodec:
@@ -46,65 +74,56 @@ class WordCodec:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.shown = dict(enumerate(byte_characters()))
-        self.part = Memo(self._parts)
-        self.memo = Memo(self._words)
-
-    def _parts(self, parts: list[str]) -> Iterator[bytes]:
-        shown, tokenize = self.shown, self.model.tokenize
-        for part in parts:
-            written = part if part.isascii() else part.encode().decode("latin-1").translate(shown)
-            yield array("I", [t.id for t in tokenize(written)]).tobytes()
-
-    def _words(self, words: list[bytes]) -> list[bytes]:
-        """Plain words go to the model as what the tokenizer's own steps make of them, which is the word
-        in lower case and the mark after it, in byte characters; all others take those steps."""
-        plain: dict[bytes, tuple] = {}
-        other = []
-        for word in words:
-            match = PLAIN.fullmatch(word.decode())
-            if match:
-                letters, mark = match.groups()
-                plain[word] = (letters.lower(), mark) if mark else (letters.lower(),)
-            else:
-                other.append(word)
-        self.part.fill(plain.values())
-        found = {w: b"".join([self.part[p] for p in parts]) for w, parts in plain.items()}
-        ids = self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
-        found.update((w, array("I", e.ids).tobytes()) for w, e in zip(other, ids, strict=True))
-        return [found[w] for w in words]
+        self.parts, self.words = Recent(self._part), Recent(self._word)
+
+    def _part(self, part: bytes) -> bytes:
+        """Ids of what the tokenizer's own steps hand to its model as one piece."""
+        text = part.decode("latin-1")
+        if not (text.isascii() and text.isprintable()):
+            text = text.encode().decode("latin-1").translate(self.shown)
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        split = self._split(word)
+        if split is not None:
+            return b"".join(map(self.parts.__getitem__, split))
+        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
+    def _split(self, text: bytes) -> list[bytes] | None:
+        """The pieces of a text, or None where the tokenizer's own steps are needed: for characters
+        beyond ISO 8859-1, which may compose or change their length in lower case, and added tokens."""
+        if ADDED in text:
+            return None
+        if text.isascii():
+            return SPLIT.findall(text.lower())
+        try:
+            narrow = text.decode()
+            narrow.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        return SPLIT.findall(narrow.lower().encode("latin-1"))
 
     def encode(self, docs: list[bytes]) -> list[np.ndarray]:
         """Ids of UTF-8 texts, whole, as the tokenizer gives them without special tokens."""
-        out: list[list[bytes]] = [[] for _ in docs]
-        waiting, total = [], 0
-
-        def settle() -> None:
-            self.memo.fill(words for _, words in waiting)
-            for i, words in waiting:
-                out[i].append(b"".join(map(self.memo.__getitem__, words)))
-            waiting.clear()
-
-        for i, doc in enumerate(docs):
-            for words in word_parts(doc):
-                waiting.append((i, words))
-                total += sum(map(len, words))
-                if total > PART_BYTES:
-                    settle()
-                    total = 0
-        settle()
-        return [np.frombuffer(b"".join(found), np.uint32) for found in out]
-
-
-def word_parts(doc: bytes) -> Iterator[list[bytes]]:
-    """The words of a text between ASCII white space, in parts of bounded size."""
+        return [np.frombuffer(b"".join(map(self._ids, spans(doc))), np.uint32) for doc in docs]
+
+    def _ids(self, text: bytes) -> bytes:
+        split = self._split(text)
+        if split is None:
+            return b"".join(map(self.words.__getitem__, text.split()))
+        return b"".join(map(self.parts.__getitem__, split))
+
+
+def spans(doc: bytes) -> Iterator[bytes]:
+    """A text in runs of bounded size, cut at ASCII white space."""
     start = 0
     while len(doc) - start > PART_BYTES:
         cut = SPACE.search(doc, start + PART_BYTES)
         if cut is None:
             break
-        yield doc[start : cut.start()].split()
+        yield doc[start : cut.start()]
         start = cut.end()
-    yield (doc[start:] if start else doc).split()
+    yield doc[start:] if start else doc
 
 
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
