@@ -192,3 +192,27 @@ FROM customer
 QUOTED = (
     _QUOTED.format(whole="'3.0'", dose="'1'") + "UNION ALL" + _QUOTED.format(whole="'3'", dose="'1.0'")
 )
+
+# Lines of a CSV file: good ones, short ones, surplus fields with and without values, odd numbers
+RECORDS = """
+SELECT CASE WHEN c_custkey % 31 = 0 THEN CAST(c_custkey AS STRING) || ',"a ""b"", c",3,,EXTRA'
+            WHEN c_custkey % 29 = 0 THEN CAST(c_custkey AS STRING) || ',x,4,'
+            WHEN c_custkey % 23 = 0 THEN CAST(c_custkey AS STRING) || ',"N/A, none",N/A'
+            WHEN c_custkey % 19 = 0 THEN CAST(c_custkey AS STRING) || ',short'
+            ELSE CAST(c_custkey AS STRING) || ',' || c_mktsegment || ',' || CAST(c_nationkey AS STRING)
+       END AS value
+FROM customer
+"""
+
+# Values of every kind in text columns
+TYPED = """
+SELECT CAST(o_orderkey AS STRING) AS a_key,
+       CASE WHEN o_orderkey % 7 = 0 THEN '3000000000' ELSE CAST(o_custkey AS STRING) END AS b_long,
+       CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_custkey AS STRING)
+            ELSE CAST(o_custkey AS STRING) || '.25' END AS c_number,
+       CASE WHEN o_orderkey % 11 = 0 THEN 'N/A' ELSE CAST(o_custkey AS STRING) END AS d_mixed,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'False' END AS e_flag,
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '2024-02-2' || CAST(o_orderkey % 10 AS STRING) END AS f_day,
+       o_orderstatus AS g_text
+FROM orders
+"""

@@ -53,6 +53,8 @@ def each(template, cols) -> str:
     return ", ".join(template(c) for c in cols)
 
 
+BAD_RECORD = "value LIKE '%,EXTRA' OR value LIKE '%,' OR value LIKE '%,N/A'"
+
 OPERATORS = {
     "csv_scan": "SELECT * FROM customer",
     "csv_scan_inferred": "SELECT * FROM part",
@@ -64,6 +66,44 @@ OPERATORS = {
     """),
     "parquet_roundtrip": "SELECT * FROM part",
     "parquet_partitioned": "SELECT * FROM orders",
+    "csv_bad_records": f"""
+        SELECT value AS record,
+               CASE WHEN value LIKE '%N/A' THEN 'column nation: not of type int: N/A'
+                    ELSE 'more than 3 fields: ' || value END AS reason
+        FROM ({inputs.RECORDS}) WHERE {BAD_RECORD}""",
+    "csv_good_records": f"""
+        SELECT CAST(split_part(value, ',', 1) AS BIGINT) AS key, split_part(value, ',', 2) AS segment,
+               CAST(nullif(split_part(value, ',', 3), '') AS INTEGER) AS nation
+        FROM ({inputs.RECORDS}) WHERE NOT ({BAD_RECORD})""",
+    "csv_column_of_bad_file": f"""
+        SELECT count(*) AS rows FROM ({inputs.RECORDS}), (VALUES (1), (2)) AS way(n)
+        WHERE NOT ({BAD_RECORD}) GROUP BY n""",
+    "csv_type_report": f"""
+        WITH found AS (
+            SELECT column_name, CASE WHEN regexp_full_match(value, '[0-9]{{1,9}}') THEN 'int'
+                       WHEN regexp_full_match(value, '[0-9]+') THEN 'bigint'
+                       WHEN regexp_full_match(value, '[0-9]+[.][0-9]+') THEN 'double'
+                       WHEN regexp_full_match(value, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN 'date'
+                       WHEN lower(value) IN ('true', 'false') THEN 'boolean'
+                       ELSE 'string' END AS kind
+            FROM (UNPIVOT ({inputs.TYPED}) ON COLUMNS(*) INTO NAME column_name VALUE value)
+        ),
+        takes(type, kind) AS (VALUES
+            ('int', 'int'), ('bigint', 'int'), ('bigint', 'bigint'), ('decimal', 'int'), ('decimal', 'bigint'),
+            ('double', 'int'), ('double', 'bigint'), ('double', 'double'), ('date', 'date'),
+            ('timestamp', 'date'), ('boolean', 'boolean'), ('string', 'int'), ('string', 'bigint'),
+            ('string', 'double'), ('string', 'date'), ('string', 'boolean'), ('string', 'string'))
+        SELECT column_name, type,
+               CAST(count(*) FILTER (WHERE NOT EXISTS (
+                   FROM takes t WHERE t.type = types.type AND t.kind = found.kind)) AS BIGINT) AS resisting,
+               type = map {{'a_key': 'int', 'b_long': 'bigint', 'c_number': 'double', 'd_mixed': 'string',
+                            'e_flag': 'boolean', 'f_day': 'date', 'g_text': 'string'}}[column_name] AS fits
+        FROM found, (SELECT DISTINCT type FROM takes) types
+        GROUP BY column_name, type""",
+    "csv_preview": """
+        SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS INTEGER) AS position,
+               o_orderkey, o_custkey, o_orderstatus
+        FROM orders ORDER BY o_orderkey LIMIT 5""",
     "schema_report": """
         SELECT column_name,
                CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
@@ -398,6 +438,13 @@ def all_oracles() -> dict[str, str]:
         out[f"run_{short}"] = job(short, through_csv(short))
     for short in FLAGGED:
         out[f"flagged_{short}"] = flagged(short)
+    for report, sql in (("profile", profile), ("values", values), ("flagged", flagged)):
+        out[f"run_facilities_{report}"] = sql("facilities")
+    out["run_facilities_raw_columns"] = """
+        SELECT * FROM (VALUES
+            (' Facility Id ', 'string'), (' Facility Name ', 'string'), (' Region ', 'string'),
+            (' Bed Count ', 'int'), (' Teaching Hospital ', 'int'), (' Avg Patients Per Nurse ', 'double')
+        ) AS t(column_name, data_type)"""
     out["listing_encounters_outliers"] = encounters_severity_listing()
     out["listing_facilities_outliers"] = (
         f"{cleaned('facilities')} SELECT {project(COLUMNS['facilities'], {})} "

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import tabclean as tc
 from tabclean.plans import clean_rows, detail_reports, run_table
+from tabclean.sources import scan_raw
 from tabclean.sources.scratch import scratch_path
 
 from . import inputs
@@ -83,6 +84,46 @@ def csv_scan_quoted(spark: SparkSession, sf_dir: str, multiline: bool) -> DataFr
     return tc.drop_duplicate_rows(read)
 
 
+def csv_records(spark: SparkSession, sf_dir: str) -> str:
+    """A file whose lines are not all good, written as they are."""
+    path = scratch_path(spark, "csv_records")
+    lines = from_sql(spark, sf_dir, inputs.RECORDS)
+    lines.toDF("key,segment,nation").write.options(header=True, sep="\x01", quote="", escape="").csv(path)
+    return path
+
+
+def csv_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with surplus fields or a value not of its type, told apart from good ones."""
+    scan = scan_raw(spark, csv_records(spark, sf_dir), {"key": "bigint", "nation": "int"})
+    return scan.bad_records().select("record", "reason")
+
+
+def csv_good_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left without them."""
+    types = {"key": "bigint", "nation": "int"}
+    return tc.read_raw(spark, csv_records(spark, sf_dir), types=types, on_bad_value="drop")
+
+
+def csv_column_of_bad_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows counted without reading a column, and by one column only: both without the bad ones."""
+    types = {"key": "bigint", "nation": "int"}
+    rows = tc.read_raw(spark, csv_records(spark, sf_dir), types=types, on_bad_value="drop")
+    segments = rows.select("segment").agg(F.count("segment").alias("rows"))
+    return tc.row_count(rows).toDF("rows").unionByName(segments)
+
+
+def csv_type_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = as_csv(from_sql(spark, sf_dir, inputs.TYPED), "csv_type_report")
+    return tc.type_report(tc.read_raw(spark, path, types={}))
+
+
+def csv_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows in file order; the files are written in the order of the key."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    path = as_csv(orders.orderBy("o_orderkey"), "csv_preview")
+    return scan_raw(spark, path, {"o_orderkey": "bigint", "o_custkey": "bigint"}).preview(5)
+
+
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "parquet_roundtrip")
     tc.write_curated(table(spark, sf_dir, "part"), path)
@@ -292,6 +333,15 @@ def flagged(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.flagged_rows(rows, spec, rel_err=0)
 
 
+def run_report(name: str, report: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report that a whole run writes."""
+    raw = as_csv(raw_table(spark, sf_dir, name), f"raw_{name}")
+    out = scratch_path(spark, f"run_{name}")
+    run_table(spark, tc.TABLES[name], raw, f"{out}/curated", f"{out}/reports", rel_err=0)
+    found = spark.read.parquet(f"{out}/reports/{report}")
+    return rounded(found, "value") if report == "profile" else found
+
+
 def values(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = tc.TABLES[name]
     return tc.value_report(clean_rows(raw_table(spark, sf_dir, name), spec), spec)
@@ -318,7 +368,8 @@ SHORT = {
 
 def all_queries() -> dict[str, Query]:
     plain = [
-        csv_scan, csv_scan_inferred, csv_scan_multiline, parquet_roundtrip, parquet_partitioned,
+        csv_scan, csv_scan_inferred, csv_scan_multiline, csv_bad_records, csv_good_records,
+        csv_column_of_bad_file, csv_type_report, csv_preview, parquet_roundtrip, parquet_partitioned,
         schema_report, normalize_names, rename_positional, preview, sample_values,
         trim_columns, standardize_text, standardize_documents, blank_to_null, cast_columns,
         drop_duplicate_rows, drop_duplicate_turns, drop_duplicate_documents, count_copies, duplicate_report,
@@ -339,6 +390,8 @@ def all_queries() -> dict[str, Query]:
         out[f"run_{short}"] = partial(run, name)
     for short in ("encounters", "facilities", "patients", "labs"):
         out[f"flagged_{short}"] = partial(flagged, SHORT[short])
+    for report in ("profile", "values", "flagged", "raw_columns"):
+        out[f"run_facilities_{report}"] = partial(run_report, "facilities", report)
     out["listing_encounters_outliers"] = partial(listing, "encounters", "outliers_encounter_severity")
     out["listing_facilities_outliers"] = partial(listing, "facilities", "outliers_bed_count")
     out["listing_facilities_domain"] = partial(listing, "facilities", "domain_teaching_hospital")

@@ -12,7 +12,7 @@ from .plans import (
     run_table,
     value_report,
 )
-from .sources import materialize, read_raw, write_curated
+from .sources import materialize, read_raw, scan_raw, scratch_scope, type_report, write_curated
 
 __all__ = [
     *_operators,
@@ -25,6 +25,9 @@ __all__ = [
     "profile_table",
     "read_raw",
     "run_table",
+    "scan_raw",
+    "scratch_scope",
+    "type_report",
     "value_report",
     "write_curated",
 ]

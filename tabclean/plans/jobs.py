@@ -13,11 +13,12 @@ from .. import operators as op
 from ..functions import column, is_missing, literal_rows
 from ..operators.outliers import outside_fence
 from ..operators.quality import SUMMARY, outside_domain, summary_aggregates
-from ..sources import materialize, read_raw, staged, write_curated
+from ..sources import materialize, scan_raw, scratch_scope, staged, write_curated
 from .sizing import PARTITION_BYTES, sized_for
 from .spec import TableSpec
 
 COPIES = "__copies"
+PREVIEW_ROWS = 5
 
 
 def before_dedup(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -267,30 +268,43 @@ def run_table(
 ) -> DataFrame:
     """Raw CSV to curated Parquet; returns the curated table.
 
-    ``multiline`` overrides the spec's (one task per file where true). ``partition_bytes`` of raw
+    ``multiline`` overrides the spec's. ``partition_bytes`` of raw
     input make a shuffle partition and ``split_bytes`` a scan split (None: the session's setting).
+    ``on_bad_value`` is that of :func:`read_raw`.
 
-    Without reports, and unless exact fences are asked for, this is one lazy plan: one scan, one
-    wide shuffle, one write.
+    The CSV is parsed once. Unless all types are declared and no reports are asked for, its fields are stored as
+    text; types are counted and rows are read there. Without reports, and unless exact fences are
+    asked for, the rest is one lazy plan: one scan, one wide shuffle, one write.
 
-    With ``reports`` the CSV is still read once and the rows are shuffled once, into a scratch table
+    With ``reports`` the rows are shuffled once, into a scratch table
     of cleaned rows with their copy counts. Everything else is a narrow scan of that table, and its
     stored files stand between the heavy shuffle and the jobs that follow. Fences are found once,
-    so the listings agree with the values that were replaced. The reports are ``profile``,
+    so the listings agree with the values that were replaced. The reports are ``preview`` (the first five
+    rows as read, in file order), ``raw_columns`` (names and types as read), ``profile``,
     ``values`` (distinct values and frequencies), ``flagged`` (outliers, non-positive values,
-    domain violations), ``schema`` and ``sample``.
+    domain violations), ``schema`` and ``sample``, and with ``on_bad_value="drop"`` ``bad_records``.
+
+    All scratch tables are removed at the end.
     """
     nulling = spec.outlier_policy == "null"
-    with sized_for(spark, raw, partition_bytes, split_bytes):
-        source = read_raw(
+    with sized_for(spark, raw, partition_bytes, split_bytes), scratch_scope(spark):
+        scan = scan_raw(
             spark,
             raw,
-            types=spec.types,
+            spec.types,
             multiline=spec.multiline if multiline is None else multiline,
-            on_bad_value=on_bad_value,
             infer_rest=spec.infer_rest,
+            store=bool(reports),
         )
+        if scan is None:
+            raise ValueError(f"no header line in {raw}")
+        source = scan.rows(on_bad_value)
         schema = clean_rows(source, spec).schema
+        if reports:
+            write_curated(scan.preview(PREVIEW_ROWS, on_bad_value), f"{reports}/preview")
+            write_curated(op.schema_report(source), f"{reports}/raw_columns")
+            if on_bad_value == "drop":
+                write_curated(scan.bad_records(), f"{reports}/bad_records")
         if not reports and not (nulling and op.exact(rel_err)):
             write_curated(clean_table(source, spec, rel_err), curated)
         else:

@@ -12,7 +12,8 @@ class TableSpec:
 
     ``dedup_stage`` says on which form duplicates are removed: ``"raw"`` before any cleaning,
     ``"trimmed"`` after trimming only, ``"clean"`` after all text cleaning. ``types`` holds the
-    columns of known type, as a rule ids and text; with ``infer_rest`` the data tell the others.
+    columns of known type, as a rule ids and text; ``"numeric"`` is a number of the type that the data tell,
+    and with ``infer_rest`` the data tell all about the others.
     """
 
     name: str

@@ -46,7 +46,8 @@ _ENCOUNTER_NUMBERS = (
 ENCOUNTERS = TableSpec(
     name="encounters",
     dedup_stage="raw",
-    types=dict.fromkeys(_ENCOUNTER_TEXT, "string"),
+    types=dict.fromkeys(_ENCOUNTER_TEXT, "string")
+    | dict.fromkeys(("total_cost_usd", "length_of_stay_days", "encounter_severity"), "numeric"),
     text_cols=_ENCOUNTER_TEXT,
     missing_stage="after_dedup",
     missing_ratio=False,
@@ -59,7 +60,8 @@ ENCOUNTERS = TableSpec(
 
 FACILITIES = TableSpec(
     name="facilities",
-    types=dict.fromkeys(("facility_id", "facility_name", "region"), "string"),
+    types=dict.fromkeys(("facility_id", "facility_name", "region"), "string")
+    | dict.fromkeys(("bed_count", "avg_patients_per_nurse"), "numeric"),
     text_cols=("facility_id", "facility_name", "region"),
     distinct_cols=("facility_id", "facility_name", "region"),
     sample_cols=("bed_count", "teaching_hospital", "avg_patients_per_nurse"),
@@ -88,7 +90,8 @@ _PATIENT_TEXT = (
 
 PATIENTS = TableSpec(
     name="patients",
-    types=dict.fromkeys(_PATIENT_TEXT, "string"),
+    types=dict.fromkeys(_PATIENT_TEXT, "string")
+    | dict.fromkeys(("age", "chronic_condition_count"), "numeric"),
     text_cols=_PATIENT_TEXT,
     distinct_cols=_PATIENT_TEXT,
     sample_cols=("age", "chronic_condition_count"),
@@ -107,7 +110,7 @@ _LAB_NUMBERS = (
 
 VITAL_LABS = TableSpec(
     name="vital_labs",
-    types={"encounter_id": "string"},
+    types={"encounter_id": "string"} | dict.fromkeys(_LAB_NUMBERS, "numeric"),
     text_cols=("encounter_id",),
     distinct_cols=("encounter_id",),
     sample_cols=_LAB_NUMBERS,

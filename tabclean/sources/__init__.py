@@ -1,7 +1,18 @@
 """Reading raw files, writing curated tables, and shared scratch tables."""
 
 from .curated import write_curated
-from .raw import read_raw
-from .scratch import materialize, scratch_root, staged
+from .inference import type_report
+from .raw import RawScan, read_raw, scan_raw
+from .scratch import materialize, scratch_root, scratch_scope, staged
 
-__all__ = ["materialize", "read_raw", "scratch_root", "staged", "write_curated"]
+__all__ = [
+    "RawScan",
+    "materialize",
+    "read_raw",
+    "scan_raw",
+    "scratch_root",
+    "scratch_scope",
+    "staged",
+    "type_report",
+    "write_curated",
+]

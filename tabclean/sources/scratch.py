@@ -14,6 +14,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: dict[str, str] = {}
+_scopes: list[list[str]] = []  # paths made in each open scope, innermost last
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -39,13 +40,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tabclean/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a scratch table and return the frame that reads it back."""
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` as a scratch table and return the frame that reads it back.
+
+    The table goes at the end of the innermost :func:`scratch_scope`, unless ``keep`` says otherwise;
+    without a scope it stays until the folder is emptied.
+    """
     path = scratch_path(df.sparkSession, name)
+    if _scopes and not keep:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables that are made inside the block are removed at its end.
+
+    What the block leaves behind must have been written elsewhere by then.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            _remove(spark, path)
+
+
 @contextmanager
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """Like :func:`materialize`, and the scratch table is removed at the end of the block."""
@@ -55,5 +78,9 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

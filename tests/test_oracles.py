@@ -7,12 +7,13 @@ import os
 
 import duckdb
 import pytest
-from conftest import SF
 
 import __spark_entry__ as entry
+from checks import oracles, queries
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+SF = "/root/testdata/sf0.001"
+QUERIES = queries.all_queries()
+ORACLES = oracles.all_oracles()
 
 
 @pytest.fixture(scope="module")
