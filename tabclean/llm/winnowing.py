@@ -163,7 +163,9 @@ def decontaminate(
     lists = _lists(found, windows)
 
     rows = printed.where("base = 0").select("id", "n_words", "k1", "k2")
-    rows = rows.join(found.drop("sets"), ["k1", "k2"], "left").join(lists, "signature", "left")
+    # Lists go to the few texts with hits first, so texts without one never gather on a null signature
+    listed = found.drop("sets").join(lists, "signature")
+    rows = rows.join(listed, ["k1", "k2"], "left")
     return rows.select(
         F.col("id").alias(id_col),
         F.col("n_words").cast("long").alias("n_words"),
