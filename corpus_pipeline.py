@@ -16,7 +16,7 @@ from tabclean.llm.packing import pack
 from tabclean.llm.quality import keep_good
 from tabclean.llm.simhash import keep_one
 from tabclean.llm.suffix_dedup import RESULTS, remove_repeats
-from tabclean.sources.scratch import materialize
+from tabclean.sources.scratch import materialize, scratch_scope
 
 ORACLE_SQL = None  # learned scores, fingerprints and token ids have no SQL form
 
@@ -59,8 +59,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``, each stored in the shared scratch folder."""
+    """All stages on ``documents``, each stored in the shared scratch folder.
+
+    All but the result of the last stage is removed at the end.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with scratch_scope(spark):
+        for name, stage in STAGES:
+            last = name == STAGES[-1][0]
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=last)
     return docs
