@@ -265,7 +265,7 @@ def test_run_table(spark, tmp_path, rows):
         return spark.read.parquet(str(tmp_path / "reports" / name))
 
     assert {p.name for p in (tmp_path / "reports").iterdir()} == {
-        "profile", "values", "flagged", "schema", "sample"
+        "preview", "raw_columns", "profile", "values", "flagged", "schema", "sample"
     }
     flags = report("flagged").select("check", "column_name", "facility_id")
     assert rows(flags) == [
@@ -344,7 +344,8 @@ def test_specs_check_their_options():
 def test_clean_table_is_one_scan_and_one_wide_shuffle(spark, tmp_path, plan, encounters):
     raw = str(tmp_path / "raw")
     tc.normalize_names(encounters).write.option("header", True).csv(raw)
-    df = tc.clean_table(tc.read_raw(spark, raw, types=ENCOUNTERS.types, infer_rest=True), ENCOUNTERS)
+    types = {f.name: f.dataType.simpleString() for f in tc.normalize_names(encounters).schema.fields}
+    df = tc.clean_table(tc.read_raw(spark, raw, types=types), ENCOUNTERS)
     df.collect()
     text = df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
