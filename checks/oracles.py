@@ -134,6 +134,18 @@ OPERATORS = {
     "drop_duplicate_rows": f"SELECT DISTINCT * FROM {D}",
     "drop_duplicate_turns": "SELECT DISTINCT * FROM conversations",
     "drop_duplicate_documents": "SELECT DISTINCT * EXCLUDE (doc_id) FROM documents",
+    "drop_duplicate_documents_hashed": "SELECT DISTINCT * EXCLUDE (doc_id) FROM documents",
+    "first_turns": """
+        SELECT conv_id, turn, role, text FROM conversations
+        QUALIFY row_number() OVER (
+            PARTITION BY conv_id, role ORDER BY turn NULLS FIRST, encode(text) NULLS FIRST) = 1
+    """,
+    "quartile_ranks_lineitem": """
+        SELECT column_name, quartile, count(value) AS rows, true AS within
+        FROM (UNPIVOT (SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem)
+              ON COLUMNS(*) INTO NAME column_name VALUE value), (VALUES (0.25::DOUBLE), (0.75::DOUBLE)) q(quartile)
+        GROUP BY column_name, quartile
+    """,
     "count_copies": f"""
         SELECT c_custkey, lower(trim(seg, ' ')) AS seg, bal, flag, count(*) AS copies
         FROM {D} GROUP BY 1, 2, 3, 4
@@ -438,6 +450,16 @@ def all_oracles() -> dict[str, str]:
         out[f"run_{short}"] = job(short, through_csv(short))
     for short in FLAGGED:
         out[f"flagged_{short}"] = flagged(short)
+    ranks = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {q}::DOUBLE AS quartile, count({c}) AS rows, true AS within FROM rows"
+        for c in ENCOUNTER_OUTLIERS
+        for q in (0.25, 0.75)
+    )
+    out["quartile_ranks_encounters"] = f"{cleaned('encounters')} {ranks}"
+    untouched = f"* EXCLUDE ({', '.join(ENCOUNTER_OUTLIERS)})"
+    out["run_encounters_default"] = (
+        f"{cleaned('encounters', through_csv('encounters'))} SELECT {untouched} FROM rows"
+    )
     for report, sql in (("profile", profile), ("values", values), ("flagged", flagged)):
         out[f"run_facilities_{report}"] = sql("facilities")
     out["run_facilities_raw_columns"] = """

@@ -200,6 +200,16 @@ def drop_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.drop_duplicate_rows(table(spark, sf_dir, "documents").drop("doc_id"))
 
 
+def drop_duplicate_documents_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tc.drop_duplicate_wide_rows(table(spark, sf_dir, "documents").drop("doc_id"))
+
+
+def first_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first turn of each role in each conversation."""
+    turns = table(spark, sf_dir, "conversations")
+    return tc.drop_duplicates_by(turns, ["conv_id", "role"], ["turn", "text"])
+
+
 def count_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.count_copies(tc.standardize_text(dirty(spark, sf_dir), ["seg"]))
 
@@ -304,6 +314,32 @@ def null_outliers_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.null_outliers(table(spark, sf_dir, "events"), ["value", "user_id"], rel_err=0)
 
 
+# Outliers, with the default rank error
+
+
+def quartile_ranks_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether sketched quartiles hold their rank error, by counting true ranks."""
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    ranks = tc.quartile_ranks(table(spark, sf_dir, "lineitem"), cols, rel_err=0.01)
+    return ranks.select("column_name", "quartile", "rows", "within")
+
+
+def quartile_ranks_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the cleaned encounters, whose outliers follow from them."""
+    spec = tc.TABLES["encounters"]
+    rows = clean_rows(raw_table(spark, sf_dir, "encounters"), spec)
+    ranks = tc.quartile_ranks(rows, spec.outlier_cols, rel_err=0.01)
+    return ranks.select("column_name", "quartile", "rows", "within")
+
+
+def run_encounters_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run with the default rank error: all columns that no fence touches."""
+    spec = tc.TABLES["encounters"]
+    raw = as_csv(raw_table(spark, sf_dir, "encounters"), "raw_encounters")
+    curated = run_table(spark, spec, raw, scratch_path(spark, "run_encounters_default"))
+    return curated.drop(*spec.outlier_cols)
+
+
 # Table jobs
 
 
@@ -372,7 +408,9 @@ def all_queries() -> dict[str, Query]:
         csv_column_of_bad_file, csv_type_report, csv_preview, parquet_roundtrip, parquet_partitioned,
         schema_report, normalize_names, rename_positional, preview, sample_values,
         trim_columns, standardize_text, standardize_documents, blank_to_null, cast_columns,
-        drop_duplicate_rows, drop_duplicate_turns, drop_duplicate_documents, count_copies, duplicate_report,
+        drop_duplicate_rows, drop_duplicate_turns, drop_duplicate_documents, drop_duplicate_documents_hashed,
+        first_turns, count_copies, duplicate_report, quartile_ranks_lineitem, quartile_ranks_encounters,
+        run_encounters_default,
         row_count, null_counts, missing_counts, missing_ratios,
         distinct_values, distinct_counts, cardinality_ratio, cardinality_ratios, value_counts,
         describe_columns, text_length_stats, frequency, domain_violations, non_positive,

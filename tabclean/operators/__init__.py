@@ -1,6 +1,7 @@
 """Operators over DataFrames: DataFrame in, DataFrame out, nothing but built-in expressions."""
 
 from .dedup import count_copies, drop_duplicate_rows, duplicate_report
+from .hashed_dedup import drop_duplicate_wide_rows, drop_duplicates_by
 from .names import normalize_names, normalized_name, rename_positional, schema_report
 from .outliers import FINEST_SKETCH, Fence, exact, fences, iqr_outliers, null_outliers, quantile_bounds
 from .quality import (
@@ -22,6 +23,7 @@ from .quality import (
     value_counts,
 )
 from .quantiles import exact_quantiles
+from .ranks import quartile_ranks
 from .text import blank_to_null, cast_columns, standardize_text, trim_columns
 
 __all__ = [
@@ -38,6 +40,8 @@ __all__ = [
     "distinct_values",
     "domain_violations",
     "drop_duplicate_rows",
+    "drop_duplicate_wide_rows",
+    "drop_duplicates_by",
     "duplicate_report",
     "exact_quantiles",
     "fences",
@@ -52,6 +56,7 @@ __all__ = [
     "null_outliers",
     "preview",
     "quantile_bounds",
+    "quartile_ranks",
     "rename_positional",
     "row_count",
     "sample_values",
