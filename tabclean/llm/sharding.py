@@ -81,23 +81,23 @@ def _ranked(
     df: DataFrame, within: list[Column], cell: str, order: list[Column], rank: str, total: str
 ) -> DataFrame:
     """Rank from 1 in the order of (cell, order), and the number of rows, per ``within``."""
-    n, before = fresh(df.withColumns({rank: F.lit(0), total: F.lit(0)}), "n", "before")
-    names = [f"within_{i}" for i in range(len(within))]
+    taken = df.withColumns({rank: F.lit(0), total: F.lit(0)})
+    n, before, in_cell, *names = fresh(taken, "n", "before", "in_cell", *[f"within_{i}" for i in range(len(within))])
     groups = [w.alias(name) for w, name in zip(within, names, strict=True)]
     # A row of this table for each cell in use: at most GRID for each source.
-    cells = df.groupBy(*groups, F.col(cell).alias("in_cell")).agg(F.count(F.lit(1)).alias(n))
+    cells = df.groupBy(*groups, F.col(cell).alias(in_cell)).agg(F.count(F.lit(1)).alias(n))
     part = [F.col(name) for name in names]
     span = Window.partitionBy(*part) if part else Window.partitionBy()
     cells = cells.withColumns(
         {
             total: F.sum(n).over(span),
-            before: F.sum(n).over(span.orderBy("in_cell")) - F.col(n),
+            before: F.sum(n).over(span.orderBy(in_cell)) - F.col(n),
         }
     ).drop(n)
     here = Window.partitionBy(*within, F.col(cell)).orderBy(*order)
     ranked = df.withColumn(rank, F.row_number().over(here))
-    same = F.col(cell) == F.col("in_cell")
+    same = F.col(cell) == F.col(in_cell)
     for w, name in zip(within, names, strict=True):
         same = same & w.eqNullSafe(F.col(name))
     joined = ranked.join(cells, same).withColumn(rank, F.col(rank) + F.col(before))
-    return joined.drop(before, "in_cell", *names)
+    return joined.drop(before, in_cell, *names)

@@ -235,7 +235,7 @@ def test_limbs_stay_short_and_add_up():
     numbers = np.array([0, 1, -1, 1 << 40, -(1 << 40), (1 << 61) + 12345, -(1 << 61) - 7])
     parts = limbs(numbers, 13)
     assert all(np.abs(p).max() <= 1 << 13 for p in parts)
-    assert sum(p.astype(object) * (1 << 13 * i) for i, p in enumerate(parts)).tolist() == numbers.tolist()
+    assert sum(p.astype(np.int64).astype(object) * (1 << 13 * i) for i, p in enumerate(parts)).tolist() == numbers.tolist()
 
 
 def codes(rows, parts, entries, rounds, scale=4096):
