@@ -48,7 +48,9 @@ class CodeBooks:
         return [(x + 0.5) / self.scale for entry in picked for x in entry]
 
     def arrays(self) -> list[np.ndarray]:
-        return [_narrowed(np.array(part, object).reshape(len(part), -1)) for part in self.entries]
+        return [
+            _narrowed(np.array(part, object).reshape(len(part), len(part[0]) if part else 0)) for part in self.entries
+        ]
 
 
 def finite(vectors: str) -> Column:

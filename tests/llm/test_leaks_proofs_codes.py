@@ -272,7 +272,7 @@ def codes(rows, parts, entries, rounds, scale=4096):
 def test_codes_equal_brute_force(spark, big):
     rng = np.random.default_rng(int(big) % 97)
     rows = [(i, rng.normal(size=16).tolist(), None if i % 7 == 0 else i % 3) for i in range(60)]
-    rows += [(i, [x * big for x in rng.normal(size=16)], 1) for i in range(70, 76)]
+    rows += [(i, [float(x * big) for x in rng.normal(size=16)], 1) for i in range(70, 76)]
     rows += [(80, None, 1), (81, [None] * 16, 1), (82, [math.nan] * 16, 2), (83, [math.inf] + [0.0] * 15, 2)]
     rows += [(3, rows[3][1], 0), (3, rows[9][1], 0), (None, rows[5][1], None), (90, [0.0] * 16, 5), (91, [0.0] * 16, 5)]
     df = spark.createDataFrame(rows, "id long, v array<double>, label int").repartition(5)
