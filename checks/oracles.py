@@ -55,6 +55,8 @@ def each(template, cols) -> str:
 
 BAD_RECORD = "value LIKE '%,EXTRA' OR value LIKE '%,' OR value LIKE '%,N/A'"
 
+LINEITEM_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+
 OPERATORS = {
     "csv_scan": "SELECT * FROM customer",
     "csv_scan_inferred": "SELECT * FROM part",
@@ -163,6 +165,23 @@ OPERATORS = {
         SELECT {each(lambda c: f'{missing_count(c)} / count(*) AS {c}', DIRTY_COLUMNS)} FROM {D}
     """,
     "distinct_values": f"SELECT DISTINCT seg FROM {D}",
+    "distinct_counts_lineitem": "SELECT "
+    + ", ".join(f"count(DISTINCT {c}) AS {c}_distinct" for c in LINEITEM_COLS)
+    + " FROM lineitem",
+    "distinct_sketches": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count, true AS within FROM lineitem"
+        for c in LINEITEM_COLS
+    ),
+    "frequent_values": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c}::VARCHAR AS value, count(*) AS rows FROM lineitem GROUP BY {c} "
+        "HAVING count(*) >= 0.0005 * (SELECT count(*) FROM lineitem)"
+        for c in ("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+    ),
+    "frequent_values_events": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c}::VARCHAR AS value, count(*) AS rows FROM events GROUP BY {c} "
+        "HAVING count(*) >= 0.001 * (SELECT count(*) FROM events)"
+        for c in ("user_id", "event_type", "value")
+    ),
     "distinct_counts": f"""
         SELECT count(DISTINCT c_custkey) AS c_custkey_distinct, count(DISTINCT seg) AS seg_distinct,
                count(DISTINCT flag) AS flag_distinct

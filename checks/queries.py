@@ -245,6 +245,40 @@ def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.distinct_counts(dirty(spark, sf_dir), ["c_custkey", "seg", "flag"])
 
 
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
+
+
+def distinct_counts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tc.distinct_counts(table(spark, sf_dir, "lineitem"), LINEITEM_COLS)
+
+
+def distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches stored for each flag and merged; whether they are as near to the true counts as stated."""
+    lines = table(spark, sf_dir, "lineitem")
+    stored = tc.materialize(tc.distinct_sketches(lines, LINEITEM_COLS, ["l_returnflag"]), "distinct-sketches")
+    guessed = tc.merge_distinct_sketches(stored, LINEITEM_COLS).drop("rows")
+    guessed = guessed.toDF(*[f"{c}_guess" for c in LINEITEM_COLS])
+    both = tc.distinct_counts(lines, LINEITEM_COLS).crossJoin(guessed)  # a row each
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.col(f"{c}_distinct").alias("distinct_count"),
+            (F.abs(F.col(f"{c}_guess") - F.col(f"{c}_distinct")) <= 0.03 * F.col(f"{c}_distinct")).alias("within"),
+        )
+        for c in LINEITEM_COLS
+    ]
+    return both.select(F.inline(F.array(*rows)))
+
+
+def frequent_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag"]
+    return tc.frequent_values(table(spark, sf_dir, "lineitem"), cols, share=0.0005)
+
+
+def frequent_values_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tc.frequent_values(table(spark, sf_dir, "events"), ["user_id", "event_type", "value"], share=0.001)
+
+
 def cardinality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.cardinality_ratio(dirty(spark, sf_dir), "seg")
 
@@ -412,7 +446,8 @@ def all_queries() -> dict[str, Query]:
         first_turns, count_copies, duplicate_report, quartile_ranks_lineitem, quartile_ranks_encounters,
         run_encounters_default,
         row_count, null_counts, missing_counts, missing_ratios,
-        distinct_values, distinct_counts, cardinality_ratio, cardinality_ratios, value_counts,
+        distinct_values, distinct_counts, distinct_counts_lineitem, distinct_sketches, frequent_values,
+        frequent_values_events, cardinality_ratio, cardinality_ratios, value_counts,
         describe_columns, text_length_stats, frequency, domain_violations, non_positive,
         quantile_bounds, quantile_bounds_lineitem,
         iqr_outliers, iqr_outliers_events, iqr_outliers_documents,

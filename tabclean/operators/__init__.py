@@ -1,6 +1,7 @@
 """Operators over DataFrames: DataFrame in, DataFrame out, nothing but built-in expressions."""
 
 from .dedup import count_copies, drop_duplicate_rows, duplicate_report
+from .distinct import distinct_sketches, frequent_values, merge_distinct_sketches
 from .hashed_dedup import drop_duplicate_wide_rows, drop_duplicates_by
 from .names import normalize_names, normalized_name, rename_positional, schema_report
 from .outliers import FINEST_SKETCH, Fence, exact, fences, iqr_outliers, null_outliers, quantile_bounds
@@ -37,6 +38,7 @@ __all__ = [
     "count_copies",
     "describe_columns",
     "distinct_counts",
+    "distinct_sketches",
     "distinct_values",
     "domain_violations",
     "drop_duplicate_rows",
@@ -46,7 +48,9 @@ __all__ = [
     "exact_quantiles",
     "fences",
     "frequency",
+    "frequent_values",
     "iqr_outliers",
+    "merge_distinct_sketches",
     "missing_counts",
     "missing_ratios",
     "non_positive",

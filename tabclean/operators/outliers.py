@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_double, column, literal_rows, quoted
+from .levels import merged_quantiles
 from .quantiles import exact_quantiles
 
 FINEST_SKETCH = 1e-4  # a sketch of smaller rank error grows too large
@@ -32,10 +33,8 @@ def exact(rel_err: float) -> bool:
 
 def _sketch(df: DataFrame, cols: Sequence[str], k: float, rel_err: float) -> DataFrame:
     """One row: a struct of q1, q3, lower_bound, upper_bound under each column's name."""
-    accuracy = max(1, round(1 / rel_err))
-    quartiles = F.array(F.lit(0.25), F.lit(0.75))
     values = df.select(*[as_double(df, c).alias(c) for c in cols])
-    found = values.agg(*[F.percentile_approx(column(c), quartiles, accuracy).alias(c) for c in cols])
+    found = merged_quantiles(values, {c: (0.25, 0.75) for c in cols}, rel_err)
 
     def fence(c: str) -> Column:
         q1, q3 = column(c)[0], column(c)[1]

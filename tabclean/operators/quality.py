@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import column, is_missing, quoted
+from .distinct import counted_distinct, plain_text
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -44,14 +45,30 @@ def _distinct(col: str, approx: bool) -> Column:
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """One row with ``<col>_distinct`` for each column, nulls not counted.
 
-    The exact form repeats every row once per column before the partial aggregate. For very wide
-    tables ask for groups of columns, or for ``approx=True``, which needs no shuffle of values.
+    Several columns of plain types (no arrays, maps, structs or other collations) are counted in one
+    pass that does not repeat the rows. Other columns are counted by Spark's own aggregate, which
+    does. ``approx=True`` needs no shuffle of values.
     """
+    counted = None if approx else _one_pass(df, cols)
+    if counted is not None:
+        return counted.select(*[F.col(f"d{i}").alias(f"{c}_distinct") for i, c in enumerate(cols)])
     return df.agg(*[_distinct(c, approx).alias(f"{c}_distinct") for c in cols])
 
 
+def _one_pass(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
+    """:func:`counted_distinct` where it serves: a single column isn't repeated anyway."""
+    texts = [plain_text(df, c) for c in cols]
+    if len(cols) < 2 or any(t is None for t in texts):
+        return None
+    return counted_distinct(df.select(*[t.alias(f"t{i}") for i, t in enumerate(texts)]))
+
+
 def cardinality_ratios(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """One row with ``<col>_ratio``: distinct values over rows; null for an empty table."""
+    counted = None if approx else _one_pass(df, cols)
+    if counted is not None:
+        ratios = [F.try_divide(f"d{i}", "rows").alias(f"{c}_ratio") for i, c in enumerate(cols)]
+        return counted.select(*ratios)
     rows = F.count(F.lit(1))
     return df.agg(*[F.try_divide(_distinct(c, approx), rows).alias(f"{c}_ratio") for c in cols])
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_double, column
+from .levels import merged_quantiles
 
 SKETCH_ACCURACY = 1000  # rank error of a guess: 1/1000 of the rows it covers
 WINDOW_ROWS = 1 << 16  # most rows ever ranked inside one task
@@ -92,14 +93,15 @@ def _guess(values: DataFrame, wide: list[_Search]) -> dict[int, tuple[float | No
         spans[s.index] = (at - margin, at + margin)
         shared.setdefault((s.column, s.low, s.high), []).append(s)
     groups = list(shared.values())
-    aggs = []
-    for i, group in enumerate(groups):
-        probes = [min(max(q, 0.0), 1.0) for s in group for q in spans[s.index]]
-        value = F.when(group[0].between(), column(group[0].column))
-        aggs.append(
-            F.percentile_approx(value, F.array(*map(F.lit, probes)), SKETCH_ACCURACY).alias(str(i))
-        )
-    row = values.filter(reduce(or_, [g[0].between() for g in groups])).agg(*aggs).first()
+    guarded = {
+        str(i): F.when(group[0].between(), column(group[0].column)) for i, group in enumerate(groups)
+    }
+    probes = {
+        str(i): [min(max(q, 0.0), 1.0) for s in group for q in spans[s.index]] for i, group in enumerate(groups)
+    }
+    inside = values.filter(reduce(or_, [g[0].between() for g in groups]))
+    inside = inside.select(*[v.alias(i) for i, v in guarded.items()])
+    row = merged_quantiles(inside, probes, 1 / SKETCH_ACCURACY).first()
     out = {}
     for i, group in enumerate(groups):
         for s, low, high in zip(group, row[i][::2], row[i][1::2]):
