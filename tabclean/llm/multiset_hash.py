@@ -15,6 +15,7 @@ A paragraph is a line; white space around words does not count, and a line of mo
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import column
 from .common import text_of, texts
@@ -105,68 +107,70 @@ def compare_with_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     next. Null texts are empty; an empty table gives an empty result. Columns: the id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    The order takes one shuffle: rows go to ranges of ids, and the first row of each range also goes
-    to the range before, as the neighbour of its last. Tasks then stream through their range and
-    hold two texts at a time. Range limits, one number per shuffle partition, pass the driver.
+    Ids may have any type that Spark and Python order alike: numbers, text, dates.
+
+    The order takes one shuffle: rows go to ranges of (id, hash of the text), each range is a task of its
+    own, and the first row of each range also goes to the range before, as the neighbour of its
+    last. Tasks then stream through their range and hold two texts at a time. The first rows' ids
+    and hashes, one for each shuffle partition, pass the driver.
     """
     spark = df.sparkSession
     rows = df.select(column(id_col).alias("id"), text_of(text_col).alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text"))
+    rows = rows.withColumn("tie", F.shiftright(F.xxhash64("text"), 1))
     count = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    limits = _limits(rows.select("id"), count)
+    heads = _heads(rows.select("id", "tie"), count)
+    if not heads:
+        return _result(df, id_col, rows.withColumns({"range": F.lit(0), "guest": F.lit(0)}), 1)
+    edges = sorted(heads)
 
     @F.arrow_udf("int")
-    def range_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        edges = np.array(limits, np.int64)
-        for ids in batches:
-            # Range 0 has the greatest ids; nulls were set to the least id
-            at = np.searchsorted(edges, ids.to_numpy(zero_copy_only=False), side="right")
-            yield pa.array((len(edges) - at).astype(np.int32))
-
-    least = F.lit(-(1 << 63)).cast("long")
-    ranged = rows.withColumn("range", range_of(F.coalesce(F.col("id").cast("long"), least)))
-    # The first row of each range, by (id descending, tie): one row per range
-    order = F.struct(F.col("id").isNotNull().alias("there"), F.col("id"), (-F.shiftright("tie", 1)).alias("tie"))
-    firsts = [
-        (r["range"], r["head"]["id"], -r["head"]["tie"])
-        for r in ranged.select("range", order.alias("o")).groupBy("range").agg(F.max("o").alias("head")).collect()
-    ]
-    firsts.sort()
-    if not firsts:
-        return _result(df, id_col, rows.limit(0).withColumns({"range": F.lit(0), "guest": F.lit(0)}))
-    guests = [
-        (at, tied, firsts[i - 1][0]) for i, (_, at, tied) in enumerate(firsts)
-    ]  # the first range's head follows the last range's last row
-    table = spark.createDataFrame(guests, "at long, tied long, host int")
-    heads = ranged.join(
+    def range_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for ids, ties in batches:
+            keys = zip(ids.to_pylist(), ties.to_pylist(), strict=True)
+            places = [len(edges) - 1 - bisect_left(edges, _key(*key)) for key in keys]
+            yield pa.array(places, pa.int32())
+
+    ranged = rows.withColumn("range", range_of("id", "tie"))
+    # The head of a range follows the last row of the range before; the first follows the last
+    table = spark.createDataFrame(
+        [(id_, -tie, (at - 1) % len(heads)) for at, (_, id_, tie) in enumerate(heads)],
+        T.StructType(
+            [
+                T.StructField("at", df.schema[id_col].dataType),
+                T.StructField("tied", T.LongType()),
+                T.StructField("host", T.IntegerType()),
+            ]
+        ),
+    )
+    guests = rows.join(
         F.broadcast(table),  # a row for each range
-        F.col("id").cast("long").eqNullSafe(F.col("at")) & (F.shiftright("tie", 1) == F.col("tied")),
+        F.col("id").eqNullSafe(F.col("at")) & (F.col("tie") == F.col("tied")),
     ).select("id", "text", "tie", F.col("host").alias("range"), F.lit(1).alias("guest"))
-    heads = heads.dropDuplicates(["range"])
-    both = ranged.withColumn("guest", F.lit(0)).unionByName(heads)
-    return _result(df, id_col, both)
+    guests = guests.dropDuplicates(["range"])
+    return _result(df, id_col, ranged.withColumn("guest", F.lit(0)).unionByName(guests), len(heads))
 
 
-def _limits(ids: DataFrame, count: int) -> list[int]:
-    """Ids that cut the table into at most ``count`` ranges of about equal size: the least id of each
-    partition but the first after Spark's own range partitioning."""
-    if count == 1:
-        return []
-    parts = ids.select(F.col("id").cast("long").alias("id")).repartitionByRange(count, "id")
-    lows = parts.groupBy(F.spark_partition_id().alias("part")).agg(F.min("id").alias("low"))
-    return sorted({r["low"] for r in lows.collect() if r["low"] is not None})[1:]
+def _key(id_, tie: int) -> tuple:
+    """Greater keys come first: greater ids, then lesser hashes; null ids last."""
+    return (id_ is not None, id_, -tie)
 
 
-def _result(df: DataFrame, id_col: str, rows: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    count = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def _heads(keys: DataFrame, count: int) -> list[tuple]:
+    """The first key of each of at most ``count`` ranges of about equal size, in their order."""
+    parts = keys.repartitionByRange(count, F.col("id").desc_nulls_last(), F.col("tie").asc())
+    order = F.struct(F.col("id").isNotNull().alias("there"), F.col("id"), (-F.col("tie")).alias("tie"))
+    found = parts.groupBy(F.spark_partition_id().alias("part")).agg(F.max(order).alias("head")).collect()
+    return sorted({_key(r["head"]["id"], -r["head"]["tie"]) for r in found}, reverse=True)
+
+
+def _result(df: DataFrame, id_col: str, rows: DataFrame, count: int) -> DataFrame:
     kind = df.schema[id_col].dataType.simpleString()
     schema = (
         "id " + kind + ", n_chars long, edited_sha256 string, fingerprint string, "
         "edited_fingerprint string, near_edited double, near_next double"
     )
-    sorted_rows = rows.repartition(count, "range").sortWithinPartitions(
-        "range", "guest", F.col("id").desc_nulls_last(), F.shiftright("tie", 1), "text"
+    sorted_rows = rows.repartitionById(count, F.col("range")).sortWithinPartitions(
+        "range", "guest", F.col("id").desc_nulls_last(), "tie", "text"
     )
     return sorted_rows.select("range", "guest", "id", "text").mapInArrow(_walk, schema).withColumnRenamed("id", id_col)
 
