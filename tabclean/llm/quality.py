@@ -93,13 +93,58 @@ def features(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, n
         yield _hashed(pair[together], 102), of[1:][together]
 
 
+def long_features(data: np.ndarray) -> Iterator[np.ndarray]:
+    """The buckets of one text of any length, ``PART`` bytes at a time: the same as those of
+    :func:`features`, since n-grams reach back over the border and an open word is carried over it."""
+    power = np.cumprod(np.full(1 << 12, MULT, np.uint64))
+    word, length, last = None, 0, None  # hash and length of the open word, hash of the word before
+    for start in range(0, len(data), PART):
+        part = data[start : start + PART]
+        for n in NGRAMS:
+            wide = data[max(0, start - n + 1) : start + PART].astype(np.uint64)
+            count = len(wide) - n + 1
+            if count > 0:
+                value = np.zeros(count, np.uint64)
+                for i in range(n):
+                    value |= wide[i : i + count] << np.uint64(8 * i)
+                yield _hashed(value, n)
+        solid = part > 32
+        weight = part.astype(np.uint64) + np.uint64(1)
+        lead = 0
+        if word is not None:
+            lead = len(part) if solid.all() else int(solid.argmin())
+            word = word + (weight[:lead] * power[(length + np.arange(lead)) & 4095]).sum(dtype=np.uint64)
+            length += lead
+        done = [] if last is None else [np.array([last], np.uint64)]
+        if word is not None and lead < len(part):
+            done.append(word)
+            word = None
+        before = np.zeros(len(part), bool)
+        before[1:] = solid[:-1]
+        first = np.flatnonzero(solid & ~before)
+        first = first[first >= lead] if lead else first
+        if len(first):
+            place = np.arange(len(part))
+            place[first[0] :] -= np.repeat(first, np.diff(np.append(first, len(part))))
+            found = np.add.reduceat(np.where(solid, weight * power[place & 4095], np.uint64(0)), first)
+            if solid[-1]:
+                word, length, found = found[-1:], len(part) - int(first[-1]), found[:-1]
+            done.append(found)
+        if word is not None and start + PART >= len(data):
+            done.append(word)
+        words = np.concatenate(done) if done else np.zeros(0, np.uint64)
+        yield _hashed(words if last is None else words[1:], 101)
+        if len(words):
+            pair = np.where(words[1:] == words[:-1], np.uint64(7), words[1:] * MIX + words[:-1])
+            yield _hashed(pair, 102)
+            last = words[-1]
+
+
 def counted(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The buckets of one whole text and how often each occurs. Memory does not follow its length."""
     parts, waiting = [], 0
-    for start in range(0, max(len(text), 1), PART):
-        part = np.frombuffer(text, np.uint8, min(PART, len(text) - start), start)
-        found = [buckets for buckets, _ in features(part, np.array([0, len(part)], np.int64))]
-        parts.append(_summed([(b, np.ones(len(b), np.int64)) for b in found]))
+    for buckets in long_features(np.frombuffer(text, np.uint8)):
+        parts.append(_summed([(buckets, np.ones(len(buckets), np.int64))]))
         waiting += len(parts[-1][0])
         if waiting > 4 * BUCKETS:
             parts = [_summed(parts)]
@@ -132,6 +177,14 @@ class Model:
             count += np.bincount(owner, minlength=n)
         return self.finish(total, count)
 
+    def long_score(self, data: np.ndarray) -> float:
+        """:meth:`scores` of one text, in memory that does not follow its length."""
+        total, count = 0.0, 0
+        for buckets in long_features(data):
+            total += float(self.weights[buckets].sum(dtype=np.float64))
+            count += len(buckets)
+        return float(self.finish(np.array([total]), np.array([count]))[0])
+
     def finish(self, total: np.ndarray, count: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.bias + total / np.maximum(count, 1))))
 
@@ -231,12 +284,10 @@ def score(df: DataFrame, model: Model, text: Column) -> Column:
             data, ends = flat(batch)
             out = np.empty(len(batch))
             for a, b in span_groups(np.diff(ends), PART):
-                if ends[b] - ends[a] <= 2 * PART:
+                if b - a > 1 or ends[b] - ends[a] <= PART:
                     out[a:b] = own.scores(data[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
                 else:
-                    buckets, counts = counted(data[ends[a] : ends[b]].tobytes())
-                    total = own.weights[buckets].astype(np.float64) @ counts.astype(np.float64)
-                    out[a:b] = own.finish(np.array([total]), np.array([counts.sum()], np.float64))
+                    out[a] = own.long_score(data[ends[a] : ends[b]])
             yield pa.array(out)
 
     return run(text)
