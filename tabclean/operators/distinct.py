@@ -106,19 +106,15 @@ def frequent_values(df: DataFrame, cols: Sequence[str], share: float = 0.001) ->
     hashes = df.select(
         branch().alias("branch"), *[F.xxhash64(t.isNull(), t).alias(f"h{i}") for i, t in enumerate(texts)]
     )
-    # A row of nulls that is not counted, because sketches of an empty table cannot be combined
-    none = [F.lit(None).cast("long").alias(f"h{i}") for i in range(len(cols))]
-    hashes = hashes.withColumn("rows", F.lit(1)).unionByName(
-        df.sparkSession.range(1).select(F.lit(0).alias("branch"), *none, F.lit(0).alias("rows"))
-    )
     first = hashes.groupBy("branch").agg(
-        F.sum("rows").alias("rows"),
+        F.count(F.lit(1)).alias("rows"),
         *[F.expr(f"approx_top_k_accumulate(h{i}, {most})").alias(f"s{i}") for i in range(len(cols))],
     )
-    merged = first.agg(
+    # Grouped, because a partition without sketches must not join in: its empty one cannot be combined
+    merged = first.groupBy(F.lit(0).alias("all")).agg(
         F.sum("rows").alias("total"),
         *[F.expr(f"approx_top_k_combine(s{i}, {most})").alias(f"s{i}") for i in range(len(cols))],
-    ).where("total > 0")
+    )
     followed = [
         F.expr(f"transform(approx_top_k_estimate(s{i}, {most}), x -> struct({i} as place, x.item as hash))")
         for i in range(len(cols))
