@@ -72,6 +72,19 @@ def test_frequent_values(spark, parts):
         assert {r["value"]: r["rows"] for r in found if r["column_name"] == "n"} == want
 
 
+def test_frequent_values_with_partitions_that_hold_no_sketch(spark):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for name, value in zip(names, ("40", "false")):
+            spark.conf.set(name, value)
+        df = spark.range(0, 100, 1, 2).selectExpr("id % 4 as a")
+        assert {r["value"]: r["rows"] for r in tc.frequent_values(df, ["a"], 0.1).collect()} == dict.fromkeys("0123", 25)
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+
+
 def test_frequent_values_edges(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert tc.frequent_values(df.limit(0), ["a"], 0.5).collect() == []
