@@ -214,6 +214,35 @@ def test_pivot_index_loses_no_link_in_a_dense_group(spark, monkeypatch, block):
     assert got == dict(enumerate(links.tolist()))
 
 
+@pytest.mark.parametrize("around", [None, 0.75, 0.85])
+def test_pivot_index_recall_of_single_partners(spark, around):
+    """Pairs just above the threshold, scattered or around one centre that is too wide to link as a whole."""
+    random = np.random.default_rng(11)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    one = unit(random.standard_normal((1500, 64)))
+    if around:
+        one = unit(unit(random.standard_normal((1, 64))) + np.sqrt(1 / around - 1) * one)
+    off = random.standard_normal(one.shape)
+    off = unit(off - (off * one).sum(axis=1, keepdims=True) * one)
+    data = np.vstack([one, 0.931 * one + np.sqrt(1 - 0.931**2) * off])
+    links = (data @ data.T >= 0.93).sum(axis=1) - 1
+    df = spark.createDataFrame(
+        [(i, v.tolist(), 0) for i, v in enumerate(data)], "vec_id long, embedding array<double>, label int"
+    )
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(df).collect()}
+    assert all(got[i] <= n for i, n in enumerate(links.tolist()))
+    assert sum(got.values()) >= 0.98 * links.sum()
+
+
+def test_lists_share_groups_up_to_a_size():
+    first, count = embedding_dedup.group_lists(np.array([3, 4, 25, 2, 2, 9]), 10)
+    assert first.tolist() == [0, 0, 1, 4, 4, 5]
+    assert count.tolist() == [1, 1, 3, 1, 1, 1]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert suffix_dedup.remove_repeats(docs, "doc_id", "text").count() == 0
