@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+LONG = 64  # longer strings seldom recur
+
 
 class Memo(dict):
     """Values of ``make`` by string. About ``most`` are kept; beyond that, strings that were asked for
-    only once go first."""
+    only once go first. Strings longer than ``LONG`` stay only until the next ones are asked for, so
+    what is kept takes at most ``most`` times a small size, whatever the texts."""
 
     def __init__(self, make: Callable[[list], Iterable], most: int = 250_000):
         super().__init__()
-        self.make, self.most, self.again = make, most, set()
+        self.make, self.most, self.again, self.long = make, most, set(), []
 
     def fill(self, lists: Iterable[list]) -> None:
         """Make sure that every string in ``lists`` has its value."""
+        for key in self.long:
+            self.pop(key, None)
         wanted = set().union(*lists)
         known = wanted & self.keys()
         missing = list(wanted - known)
@@ -26,3 +31,4 @@ class Memo(dict):
             self.update(kept)
             self.again = known
         self.update(zip(missing, self.make(missing), strict=True))
+        self.long = [key for key in missing if len(key) > LONG]

@@ -160,6 +160,15 @@ def test_memo_stays_bounded():
         assert len(memo) <= 12
 
 
+def test_memo_keeps_no_long_strings():
+    memo = Memo(lambda keys: [len(k) for k in keys])
+    for i in range(50):
+        long = f"{i}" * 2000
+        memo.fill([["the", long]])
+        assert memo["the"] == 3 and memo[long] == len(long)
+        assert sum(map(len, memo)) <= 3 + 4000
+
+
 def test_best_fill_is_optimal():
     random = np.random.default_rng(2)
     for _ in range(60):
